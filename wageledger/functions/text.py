@@ -18,7 +18,7 @@ UNKNOWN_NAME = "UNKNOWN_EMPLOYEE"
 
 def trim_space(value: Column, also: str = "") -> Column:
     """Strip Unicode white space at both ends; Spark's plain ``trim`` strips only ASCII blanks."""
-    return F.trim(value, F.lit(WHITE_SPACE + also))
+    return F.btrim(value, F.lit(WHITE_SPACE + also))
 
 
 def clean_label(value: Column) -> Column:

@@ -14,6 +14,9 @@ ADAPTIVE = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # The JVM never compiles methods above 8000 bytes of bytecode; wide
+    # projections fused into one such method would run interpreted.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
