@@ -46,11 +46,13 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
 def employee_order() -> list[Column]:
     """Open records before closed ones, later separations first, then the latest load.
 
-    The last three make the choice repeatable where records tie.
+    Files of one load count as loaded in the order of their names. The last
+    three make the choice repeatable where records tie.
     """
     return [
         F.coalesce(F.col("separation_date"), F.lit(OPEN_END)).desc(),
         F.col("raw_ingested_at").desc_nulls_last(),
+        F.col("source_file").desc_nulls_last(),
         F.col("department_name").asc_nulls_last(),
         F.col("pay_basis").asc_nulls_last(),
         F.col("separation_date").asc_nulls_last(),
@@ -60,7 +62,7 @@ def employee_order() -> list[Column]:
 def dim_employee(stg: DataFrame, run_ts: datetime | None = None, order: Sequence[Column] | None = None) -> DataFrame:
     """The golden record of each name, agency, title and start date."""
     columns = [*EMPLOYEE_KEYS, "separation_date", "department_name", "pay_basis"]
-    latest = latest_per_key(stg.select(*columns, "raw_ingested_at"), EMPLOYEE_KEYS, order or employee_order())
+    latest = latest_per_key(stg.select(*columns, "raw_ingested_at", "source_file"), EMPLOYEE_KEYS, order or employee_order())
     people = latest.select(
         employee_key(*[F.col(c) for c in EMPLOYEE_KEYS]).alias("employee_key"),
         "name_hash",

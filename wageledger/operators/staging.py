@@ -58,5 +58,6 @@ def stage_records(raw: DataFrame, run_ts: datetime | None = None) -> DataFrame:
 
 
 def latest_snapshot(stg: DataFrame) -> DataFrame:
-    """Only the records of the last load, for feeds that land a full snapshot each time."""
-    return stg.where(F.col("raw_ingested_at") == stg.select(F.max("raw_ingested_at")).scalar())
+    """Only the records of the last file loaded, for feeds that land a full snapshot each time."""
+    load = F.struct("raw_ingested_at", "source_file")
+    return stg.where(load == stg.select(F.max(load)).scalar())

@@ -3,23 +3,22 @@
 from __future__ import annotations
 
 import logging
-from datetime import datetime, timedelta
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wageledger.operators.checks import reconcile_files
 from wageledger.operators.names import anonymize, missing_names
 from wageledger.operators.staging import with_audit
-from wageledger.schemas import AUDIT_COLUMNS, landed_schema
+from wageledger.schemas import landed_schema, raw_schema
 from wageledger.sinks.landing import land_snapshot
 from wageledger.sinks.tables import replace_partitions
 from wageledger.sources.landing import list_landed, new_files, read_landed, read_snapshot
 
 log = logging.getLogger(__name__)
 
-# Files per load job: bounds the file list a job carries and the broadcast that orders them.
+# Files per load job: bounds the file list one job carries.
 BATCH_FILES = 10_000
 
 
@@ -39,9 +38,7 @@ def ensure_raw(spark: SparkSession, name: str, schema: T.StructType | None = Non
     """Create the raw table on first use, one partition per source file."""
     if spark.catalog.tableExists(name):
         return
-    full = T.StructType((schema or landed_schema()).fields)
-    full = full.add("raw_ingested_at", T.TimestampType()).add("source_file", T.StringType())
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in full.fields)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in raw_schema(schema).fields)
     spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY (source_file)")
 
 
@@ -55,18 +52,6 @@ def append_raw(rows: DataFrame, name: str) -> None:
     replace_partitions(rows, name)
 
 
-def in_file_order(rows: DataFrame, names: list[str], run_ts: datetime) -> DataFrame:
-    """Stamp each file's rows with its own load time, later for names that sort later.
-
-    Records of a later file then win over earlier ones of the same run.
-    """
-    spark = rows.sparkSession
-    times = [(n, run_ts + timedelta(microseconds=i)) for i, n in enumerate(sorted(names))]
-    stamps = spark.createDataFrame(times, "source_file string, raw_ingested_at timestamp")
-    # at most BATCH_FILES rows
-    return rows.drop("raw_ingested_at").join(F.broadcast(stamps), "source_file")
-
-
 def ingest(
     spark: SparkSession,
     landing: str,
@@ -89,10 +74,8 @@ def ingest(
         return None
     ensure_raw(spark, raw, schema)
     for at in range(0, len(todo), BATCH_FILES):
-        batch = todo[at : at + BATCH_FILES]
-        start = run_ts + timedelta(microseconds=at)
-        rows = with_audit(read_landed(spark, [r["landed_object"] for r in batch], schema, mode), start)
-        append_raw(in_file_order(rows, list({r["source_file"] for r in batch}), start), raw)
+        paths = [row["landed_object"] for row in todo[at : at + BATCH_FILES]]
+        append_raw(with_audit(read_landed(spark, paths, schema, mode), run_ts), raw)
     return reconcile_load(list_landed(spark, landing), spark.table(raw))
 
 
@@ -103,5 +86,3 @@ def reconcile_load(landed: DataFrame, raw: DataFrame) -> int:
         raise ValueError(f"{found['landed_files']} files landed but {found['loaded_files']} loaded")
     return found["loaded_rows"]
 
-
-__all__ = ["AUDIT_COLUMNS", "append_raw", "ensure_raw", "extract", "in_file_order", "ingest", "reconcile_load"]

@@ -118,7 +118,7 @@ def _employees(name: str, source: str, where: str = "TRUE") -> str:
   QUALIFY row_number() OVER (
     PARTITION BY name_hash, agency_name, job_title, start_date
     ORDER BY coalesce(separation_date, DATE '9999-12-31') DESC, raw_ingested_at DESC NULLS LAST,
-      department_name NULLS LAST, pay_basis NULLS LAST, separation_date NULLS LAST) = 1
+      source_file DESC NULLS LAST, department_name NULLS LAST, pay_basis NULLS LAST, separation_date NULLS LAST) = 1
 )"""
 
 

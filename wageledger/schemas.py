@@ -28,7 +28,6 @@ RAW_COLUMNS = (
     "Updated_At",
 )
 REQUIRED = ("name_hash",)
-AUDIT_COLUMNS = ("raw_ingested_at", "source_file")
 
 # Type names a JSON schema may use.
 _TYPES = {
@@ -48,9 +47,10 @@ def landed_schema() -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), c not in REQUIRED) for c in RAW_COLUMNS])
 
 
-def raw_schema() -> T.StructType:
+def raw_schema(landed: T.StructType | None = None) -> T.StructType:
     """Landed columns and the audit columns; ``source_file`` is the partition column, so it is last."""
-    return landed_schema().add("raw_ingested_at", T.TimestampType()).add("source_file", T.StringType())
+    schema = T.StructType(list((landed or landed_schema()).fields))
+    return schema.add("raw_ingested_at", T.TimestampType()).add("source_file", T.StringType())
 
 
 def schema_from_fields(fields: Iterable[dict]) -> T.StructType:
