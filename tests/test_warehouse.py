@@ -16,6 +16,7 @@ from wageledger.sinks.tables import (
     merge_table,
     recover_swap,
     refresh_aggregate,
+    stale_partitions,
     write_table,
 )
 
@@ -77,8 +78,11 @@ def test_lenient_run_reports_failures(spark, names):
 def test_incremental_equals_full_refresh(spark, names):
     load(spark, names.raw, "payroll_1.csv", DAY_1, record("h1"), record("h2"))
     transform(spark, DAY_1 + timedelta(hours=1), names, full_refresh=False)
+    files = {r[0] for r in spark.table(names.overtime).select("_metadata.file_path").collect()}
     load(spark, names.raw, "payroll_2.csv", DAY_2, record("h2", Year="2026", Pay_Basis="Weekly"), record("h3", Year="2026"))
     transform(spark, DAY_2 + timedelta(hours=1), names, full_refresh=False)
+    # the aggregate of 2025 was left alone
+    assert files < {r[0] for r in spark.table(names.overtime).select("_metadata.file_path").collect()}
     stamped = {r["name_hash"]: r["dbt_updated_at"] for r in spark.table(names.employee).collect()}
     assert len(stamped) == 3 and stamped["h1"] < stamped["h2"] == stamped["h3"]
     merged = dicts(spark.table(names.wide).drop("dbt_updated_at"))
@@ -112,6 +116,13 @@ def test_refresh_rewrites_touched_years_only(spark, names):
     assert got == {2025: 1.0, 2026: 5.0, None: 7.0}
 
 
+def test_stale_partitions(spark):
+    source = wide(spark, (2025, "A", "J", 1.0, 2.0, 3.0), (2026, "A", "J", 1.0, 2.0, 3.0), (None, "A", "J", 1.0, 2.0, 3.0))
+    kept = rollups.overtime_by_job(source.where("fiscal_year = 2025"))
+    stale = stale_partitions(source, kept, "employee_count")
+    assert {r["fiscal_year"] for r in stale.collect()} == {2026, None}
+
+
 def test_table_is_partitioned_and_sorted(spark, names):
     df = spark.range(1000).select((F.col("id") % 3).alias("year"), (F.col("id") % 7).alias("k"), "id")
     write_table(df, names.fact, ["year"], ["k"])
@@ -168,3 +179,20 @@ def test_calendar_range_is_an_argument(spark, names):
     load(spark, names.raw, "payroll_1.csv", DAY_1, record("h1"))
     transform(spark, DAY_1, names, calendar_range=(date(2025, 1, 1), date(2025, 1, 31)))
     assert spark.table(names.calendar).count() == 31
+
+
+def test_jobs_run_from_the_command_line(spark, tmp_path):
+    from wageledger.__main__ import main
+
+    header = ",".join(["Year", "Name", *RAW_COLUMNS[2:]])
+    rows = [",".join(v or "" for v in record(who).values()) for who in ("Doe", "Roe")]
+    (tmp_path / "published.csv").write_text("\n".join([header, *rows]), encoding="utf-8")
+    (tmp_path / "salt").write_text("secret", encoding="utf-8")
+    extracting = ["--snapshot", str(tmp_path / "published.csv"), "--salt-file", str(tmp_path / "salt")]
+    landing = ["--landing", str(tmp_path / "landing")]
+    main(["all", *extracting, *landing], spark)
+    main(["load", *landing], spark)
+    main(["transform", "--incremental"], spark)
+    assert spark.table("v_payroll_kpis").first()["headcount"] == 2
+    for f in fields(Tables):
+        spark.sql(f"DROP TABLE {f.default}")

@@ -137,3 +137,15 @@ def wide_records(stg: DataFrame, employees: DataFrame) -> DataFrame:
         )
         .select(*WIDE_COLUMNS)
     )
+
+
+def person_years(stg: DataFrame, employees: DataFrame) -> DataFrame:
+    """Who was paid in which year, place and title, with the golden separation date.
+
+    All that ``hr_dynamics`` reads of the wide records, without their repeats:
+    they collapse before the join, so a person with a third of all rows brings
+    one row per year and map task to it.
+    """
+    known = F.col("employee_key").isNotNull()
+    years = derive_keys(stg).where(known).select("fiscal_year", "agency_name", "job_title", "employee_key", "start_date")
+    return years.distinct().join(employees.select("employee_key", "separation_date"), "employee_key", "left")

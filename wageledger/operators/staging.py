@@ -59,5 +59,7 @@ def stage_records(raw: DataFrame, run_ts: datetime | None = None) -> DataFrame:
 
 def latest_snapshot(stg: DataFrame) -> DataFrame:
     """Only the records of the last file loaded, for feeds that land a full snapshot each time."""
-    load = F.struct("raw_ingested_at", "source_file")
-    return stg.where(load == stg.select(F.max(load)).scalar())
+    last = stg.select(F.max(F.struct("raw_ingested_at", "source_file"))).scalar()
+    return stg.where(
+        (F.col("raw_ingested_at") == last["raw_ingested_at"]) & (F.col("source_file") == last["source_file"])
+    )

@@ -60,9 +60,9 @@ def _keyed(spark: SparkSession, folder: str) -> DataFrame:
     return lookups.derive_keys(_stg(spark, folder))
 
 
-def _wide(spark: SparkSession, folder: str) -> DataFrame:
+def _dynamics(spark: SparkSession, folder: str) -> DataFrame:
     stg = _stg(spark, folder)
-    return lookups.wide_records(stg, dimensions.dim_employee(stg))
+    return rollups.hr_dynamics(lookups.person_years(stg, dimensions.dim_employee(stg)))
 
 
 def _kpis(spark: SparkSession, folder: str) -> DataFrame:
@@ -154,7 +154,8 @@ def one_big_table(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def wide_records(spark: SparkSession, folder: str) -> DataFrame:
-    return plain(_wide(spark, folder))
+    stg = _stg(spark, folder)
+    return plain(lookups.wide_records(stg, dimensions.dim_employee(stg)))
 
 
 def payroll_kpis(spark: SparkSession, folder: str) -> DataFrame:
@@ -166,7 +167,7 @@ def overtime_by_job(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def hr_dynamics(spark: SparkSession, folder: str) -> DataFrame:
-    return rollups.hr_dynamics(_wide(spark, folder))
+    return _dynamics(spark, folder)
 
 
 def payroll_composition(spark: SparkSession, folder: str) -> DataFrame:
@@ -194,12 +195,11 @@ def overtime_share_job(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def workforce_balance(spark: SparkSession, folder: str) -> DataFrame:
-    return rollups.workforce_balance(rollups.hr_dynamics(_wide(spark, folder)))
+    return rollups.workforce_balance(_dynamics(spark, folder))
 
 
 def workforce_balance_job(spark: SparkSession, folder: str) -> DataFrame:
-    dynamics = rollups.hr_dynamics(_wide(spark, folder))
-    return rollups.workforce_balance(dynamics, ("fiscal_year", "agency_name", "job_title"))
+    return rollups.workforce_balance(_dynamics(spark, folder), ("fiscal_year", "agency_name", "job_title"))
 
 
 def headcount_payroll_corr(spark: SparkSession, folder: str) -> DataFrame:
@@ -207,8 +207,8 @@ def headcount_payroll_corr(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _employees_as_of(stg: DataFrame) -> DataFrame:
-    """The employee dimension as it was after the last run before ``AS_OF``."""
-    return dimensions.dim_employee(_before(stg), datetime(2025, 1, 2, 12, tzinfo=UTC))
+    """The employee dimension as the last run before ``AS_OF`` left it: a stored table."""
+    return stored(dimensions.dim_employee(_before(stg), datetime(2025, 1, 2, 12, tzinfo=UTC)), "employees")
 
 
 def incremental_since(spark: SparkSession, folder: str) -> DataFrame:

@@ -19,6 +19,7 @@ from wageledger.sinks.tables import (
     recover_swap,
     refresh_aggregate,
     register_views,
+    stale_partitions,
     write_table,
 )
 from wageledger.sources.dates import CALENDAR_END, CALENDAR_START, calendar, date_range
@@ -64,7 +65,8 @@ def transform(
 
     A full refresh derives every key from the record itself, which takes no
     join. Otherwise people who arrived since the last run are merged into the
-    employee dimension and the fact looks its keys up. With ``strict`` the
+    employee dimension, the fact looks its keys up, and the aggregate is
+    rewritten for the years whose records changed. With ``strict`` the
     first table whose checks fail stops the run; without, the failures are
     returned.
     """
@@ -90,13 +92,12 @@ def transform(
     write_table(calendar(date_range(spark, *calendar_range), run_ts), names.calendar)
     recover_swap(spark, names.employee)
     first_build = not spark.catalog.tableExists(names.employee)
-    changed = None
     if full_refresh or first_build:
         write_table(dimensions.dim_employee(stg, run_ts), names.employee, cluster=("agency_name", "job_title"))
     else:
-        changed = since_high_water(stg, spark.table(names.employee).select("dbt_updated_at"))
+        arrived = since_high_water(stg, spark.table(names.employee).select("dbt_updated_at"))
         merge_table(
-            dimensions.dim_employee(changed, run_ts), names.employee, "employee_key", ("agency_name", "job_title")
+            dimensions.dim_employee(arrived, run_ts), names.employee, "employee_key", ("agency_name", "job_title")
         )
     dims = {
         "dim_agency": spark.table(names.agency),
@@ -120,7 +121,10 @@ def transform(
     wide = spark.table(names.wide)
     check("obt_payroll", obt_payroll=wide)
 
-    refresh_aggregate(wide, rollups.overtime_by_job, names.overtime)
+    stale = None
+    if not full_refresh and spark.catalog.tableExists(names.overtime):
+        stale = stale_partitions(wide, spark.table(names.overtime), "employee_count")
+    refresh_aggregate(wide, rollups.overtime_by_job, names.overtime, stale)
     check("mv_overtime_by_job", mv_overtime_by_job=spark.table(names.overtime))
     reports = views(spark, names, run_ts)
     register_views(reports)

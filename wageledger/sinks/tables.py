@@ -64,8 +64,8 @@ def refresh_aggregate(
 ) -> None:
     """Keep the stored aggregate ``build(source)`` up to date.
 
-    With ``changed``, the rows of ``source`` that are new since the last
-    refresh, only their ``partition`` values are read again and rewritten.
+    With ``changed``, rows holding the ``partition`` values that are out of
+    date, only those are read again and rewritten.
     """
     spark = source.sparkSession
     if changed is None or not spark.catalog.tableExists(name):
@@ -76,6 +76,17 @@ def refresh_aggregate(
     replace_partitions(build(stale), name, [partition, *cluster])
 
 
+def stale_partitions(source: DataFrame, aggregate: DataFrame, rows: str, partition: str = "fiscal_year") -> DataFrame:
+    """Partition values whose record count in ``source`` differs from the sum of ``rows`` in the aggregate.
+
+    Compares the two tables as they are, so it also finds what an interrupted
+    run has left behind. Counting per partition value reads no data columns.
+    """
+    have = source.groupBy(partition).agg(F.count(F.lit(1)).alias("n"))
+    kept = aggregate.groupBy(partition).agg((-F.sum(rows)).alias("n"))
+    return have.unionByName(kept).groupBy(partition).agg(F.sum("n").alias("n")).where(F.col("n") != 0).select(partition)
+
+
 def merge_table(updates: DataFrame, name: str, key: str, cluster: Sequence[str] = ()) -> None:
     """Upsert into a table: write the merged version beside it, then swap names.
 
