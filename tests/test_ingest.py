@@ -130,10 +130,11 @@ def test_file_counts_must_agree(spark):
     assert reconcile_load(landed.limit(1), raw) == 1
 
 
-def test_extract_then_load(spark, tmp_path, raw):
+def test_extract_then_load(spark, tmp_path, raw, caplog):
     header = ",".join(["Year", "Name", *RAW_COLUMNS[2:]])
     put(tmp_path, "published.csv", line(who=" Doe "), line(who=""), header=header)
     extract(spark, str(tmp_path / "published.csv"), str(tmp_path / "landing"), "salt", RUN)
+    assert "1 rows without a name" in caplog.text
     assert ingest(spark, str(tmp_path / "landing"), raw, RUN) == 2
     hashes = [r["name_hash"] for r in spark.table(raw).collect()]
     assert all(len(h) == 16 for h in hashes) and len(set(hashes)) == 2

@@ -27,7 +27,7 @@ def count_where(df: DataFrame, conditions: Mapping[str, Column]) -> DataFrame:
 
 def unique(df: DataFrame, column: str) -> DataFrame:
     """Non-NULL values that occur more than once."""
-    return _counted(df.where(F.col(column).isNotNull()), column).where(F.col("n_records") > 1)
+    return _counted(df, column).where(F.col("n_records") > 1)
 
 
 def in_set(df: DataFrame, column: str, values: Iterable) -> DataFrame:
@@ -65,13 +65,14 @@ def relationships(child: DataFrame, column: str, parent: DataFrame, parent_colum
     Both sides are reduced to one row per value on the map side, so the join
     never sees a hot value more than once.
     """
-    values = _counted(child.where(F.col(column).isNotNull()), column)
+    values = _counted(child, column).where(F.col("n_records") > 0)
     parents = parent.select(F.col(parent_column).alias("value")).distinct()
     return values.join(parents, "value", "left_anti")
 
 
 def _counted(df: DataFrame, column: str) -> DataFrame:
-    return df.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n_records"))
+    """Rows per value; NULLs count as none, which drops them without evaluating the column twice."""
+    return df.groupBy(F.col(column).alias("value")).agg(F.count(column).alias("n_records"))
 
 
 def _totals(df: DataFrame, columns: dict[str, str]) -> DataFrame:

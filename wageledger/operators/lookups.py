@@ -146,6 +146,6 @@ def person_years(stg: DataFrame, employees: DataFrame) -> DataFrame:
     they collapse before the join, so a person with a third of all rows brings
     one row per year and map task to it.
     """
-    known = F.col("employee_key").isNotNull()
-    years = derive_keys(stg).where(known).select("fiscal_year", "agency_name", "job_title", "employee_key", "start_date")
-    return years.distinct().join(employees.select("employee_key", "separation_date"), "employee_key", "left")
+    years = derive_keys(stg).select("fiscal_year", "agency_name", "job_title", "employee_key", "start_date").distinct()
+    dated = years.join(employees.select("employee_key", "separation_date"), "employee_key", "left")
+    return dated.withColumn("start_date", F.when(F.col("employee_key").isNotNull(), F.col("start_date")))

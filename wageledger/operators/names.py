@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wageledger.functions.keys import salted_hash
@@ -20,8 +20,10 @@ def anonymize(df: DataFrame, salt: str, column: str = "Name", hashed: str = "nam
     return fill_names(df, column).withColumn(column, salted_hash(F.col(column), salt)).withColumnRenamed(column, hashed)
 
 
+def missing_count(column: str = "Name") -> Column:
+    return F.count(F.when(F.col(column).isNull(), 1))
+
+
 def missing_names(df: DataFrame, column: str = "Name") -> DataFrame:
     """One row: how many names are NULL, out of how many rows."""
-    return df.agg(
-        F.count(F.when(F.col(column).isNull(), 1)).alias("missing_names"), F.count(F.lit(1)).alias("total_rows")
-    )
+    return df.agg(missing_count(column).alias("missing_names"), F.count(F.lit(1)).alias("total_rows"))

@@ -5,11 +5,11 @@ from __future__ import annotations
 import logging
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import types as T
 
 from wageledger.operators.checks import reconcile_files
-from wageledger.operators.names import anonymize, missing_names
+from wageledger.operators.names import anonymize, missing_count
 from wageledger.operators.staging import with_audit
 from wageledger.schemas import landed_schema, raw_schema
 from wageledger.sinks.landing import land_snapshot
@@ -23,15 +23,16 @@ BATCH_FILES = 10_000
 
 
 def extract(spark: SparkSession, snapshot: str, landing: str, salt: str, run_ts: datetime) -> str:
-    """Anonymize a published snapshot and land it; returns the landed path."""
+    """Anonymize a published snapshot and land it in one pass; returns the landed path."""
     df = read_snapshot(spark, snapshot)
-    if "Name" in df.columns:
-        missing = missing_names(df).first()["missing_names"]
-        if missing:
-            log.warning("%d rows without a name", missing)
-    else:
+    if "Name" not in df.columns:
         log.warning("no column 'Name': nothing to anonymize")
-    return land_snapshot(anonymize(df, salt), landing, run_ts)
+        return land_snapshot(df, landing, run_ts)
+    seen = Observation("names")
+    path = land_snapshot(anonymize(df.observe(seen, missing_count("Name").alias("missing")), salt), landing, run_ts)
+    if seen.get["missing"]:
+        log.warning("%d rows without a name", seen.get["missing"])
+    return path
 
 
 def ensure_raw(spark: SparkSession, name: str, schema: T.StructType | None = None) -> None:

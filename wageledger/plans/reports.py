@@ -224,7 +224,8 @@ def merge_upsert(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def dq_not_null(spark: SparkSession, folder: str) -> DataFrame:
-    return checks.not_null(_stg(spark, folder), _stg(spark, folder).columns)
+    stg = _stg(spark, folder)
+    return checks.not_null(stg, stg.columns)
 
 
 def dq_unique(spark: SparkSession, folder: str) -> DataFrame:

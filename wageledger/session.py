@@ -44,6 +44,8 @@ def local_session(cores: int | str = "*", app: str = "wageledger", **conf: str)
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # skips recording a call site for every column expression
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="wageledger-"))
     )
     for key, value in {**ADAPTIVE, **conf}.items():

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wageledger.operators.upsert import merge_upsert
+from wageledger.sinks.scratch import stored
 
 
 def create_databases(spark: SparkSession, names: Sequence[str]) -> None:
@@ -90,7 +91,8 @@ def stale_partitions(source: DataFrame, aggregate: DataFrame, rows: str, partiti
 def merge_table(updates: DataFrame, name: str, key: str, cluster: Sequence[str] = ()) -> None:
     """Upsert into a table: write the merged version beside it, then swap names.
 
-    A run that dies while writing leaves the table as it was; one that dies
+    The updates are stored first: they are read twice, may be derived from the
+    table itself, and if small are then broadcast instead of shuffling it. A run that dies while writing leaves the table as it was; one that dies
     during the swap is finished by the next ``recover_swap``.
     """
     spark = updates.sparkSession
@@ -98,7 +100,8 @@ def merge_table(updates: DataFrame, name: str, key: str, cluster: Sequence[str]
     if not spark.catalog.tableExists(name):
         write_table(updates, name, cluster=cluster)
         return
-    write_table(merge_upsert(spark.table(name), updates, key), f"{name}__next", cluster=cluster)
+    merged = merge_upsert(spark.table(name), stored(updates, "updates"), key)
+    write_table(merged, f"{name}__next", cluster=cluster)
     spark.sql(f"DROP TABLE {name}")
     recover_swap(spark, name)
 
