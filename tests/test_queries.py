@@ -34,6 +34,8 @@ def test_query_equals_sql(spark, db, name):
     got = sorted(repr([row[c] for c in columns]) for row in df.collect())
     assert got == want
     assert got
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
 def test_entry(spark):

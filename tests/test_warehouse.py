@@ -41,7 +41,7 @@ def load(spark, name, file, at, *records):
 def names(spark, request):
     create_databases(spark, LAYERS)
     tables = Tables()
-    tables = Tables(**{f.name: f"{getattr(tables, f.name)}_{request.node.name}" for f in fields(tables)})
+    tables = Tables(**{f.name: f"{getattr(tables, f.name)}_{request.node.originalname}" for f in fields(tables)})
     yield tables
     for f in fields(tables):
         spark.sql(f"DROP TABLE IF EXISTS {getattr(tables, f.name)}")
@@ -123,13 +123,39 @@ def test_stale_partitions(spark):
     assert {r["fiscal_year"] for r in stale.collect()} == {2026, None}
 
 
-def test_table_is_partitioned_and_sorted(spark, names):
-    df = spark.range(1000).select((F.col("id") % 3).alias("year"), (F.col("id") % 7).alias("k"), "id")
-    write_table(df, names.fact, ["year"], ["k"])
-    assert spark.table(names.fact).count() == 1000
+@pytest.mark.parametrize("times", [1, 2])
+def test_table_is_partitioned_and_sorted(spark, names, times):
+    df = spark.range(9000).select((F.col("id") % 3).alias("year"), (F.col("id") % 7).alias("k"), "id")
+    for _ in range(times):
+        write_table(df.repartition(4, "id"), names.fact, ["year"], ["k"])
+    table = spark.table(names.fact)
+    assert table.count() == 9000
     assert {c.name for c in spark.catalog.listColumns(names.fact) if c.isPartition} == {"year"}
-    order = [r["k"] for r in spark.table(names.fact).where("year = 1").collect()]
-    assert sum(a > b for a, b in zip(order, order[1:])) < 8
+    rows = table.select("k", F.col("_metadata.file_path").alias("f"), F.col("_metadata.row_index").alias("i")).collect()
+    in_file = sorted((r["f"], r["i"], r["k"]) for r in rows)
+    assert all(x[2] <= y[2] for x, y in zip(in_file, in_file[1:]) if x[0] == y[0])
+
+
+def test_full_refresh_drops_vanished_partitions(spark, names):
+    def years(*values):
+        return spark.createDataFrame([(i, y) for i, y in enumerate(values)], "id int, year int")
+
+    for values in ([2024, 2025, None], [2025, 2026, 2026], [2027, None], [2025]):
+        write_table(years(*values), names.fact, ["year"], ["id"])
+        assert sorted((r["year"] or 0) for r in spark.table(names.fact).collect()) == sorted(v or 0 for v in values)
+        assert spark.sql(f"SHOW PARTITIONS {names.fact}").count() == len(set(values))
+    write_table(years(2025).withColumn("more", F.lit(1)), names.fact, ["year"])
+    assert set(spark.table(names.fact).columns) == {"id", "year", "more"}
+
+
+def test_failed_refresh_leaves_the_table(spark, names):
+    bad = spark.range(10).select("id", F.when(F.col("id") < 20, F.raise_error(F.lit("no"))).cast("int").alias("year"))
+    for table, partition in ((names.fact, ["year"]), (names.agency, [])):
+        write_table(spark.range(5).withColumn("year", F.lit(2025)), table, partition)
+        with pytest.raises(Exception, match="no"):
+            write_table(bad, table, partition)
+        spark.catalog.refreshTable(table)
+        assert spark.table(table).count() == 5
 
 
 def test_merge_table_twice_is_merge_once(spark, names):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from wageledger.operators.upsert import merge_upsert
@@ -24,14 +24,43 @@ def write_table(df: DataFrame, name: str, partition: Sequence[str] = (), cluster
     adaptive execution cut a hot combination into files of the advisory size
     and merge the small ones, where a plain repartition would leave a third of
     the table to one task.
+
+    The table stays readable, in its former version, until the new data is
+    written: partitions are then exchanged in place, and an unpartitioned
+    table swaps names with the new one.
     """
+    spark = df.sparkSession
     keys = [*partition, *cluster]
     if keys:
         df = df.hint("rebalance", *keys).sortWithinPartitions(*keys)
     writer = df.write.format("parquet").mode("overwrite")
-    if partition:
-        writer = writer.partitionBy(*partition)
-    writer.saveAsTable(name)
+    if not partition:
+        writer.saveAsTable(f"{name}__next")
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        recover_swap(spark, name)
+    elif spark.catalog.tableExists(name) and set(spark.table(name).columns) == set(df.columns):
+        _exchange_partitions(df, name, partition)
+    else:
+        writer.partitionBy(*partition).saveAsTable(name)
+
+
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _exchange_partitions(df: DataFrame, name: str, partition: Sequence[str]) -> None:
+    """Overwrite the partitions ``df`` has rows for and drop the others.
+
+    Which ones those are is collected while writing: one value per partition.
+    """
+    spark = df.sparkSession
+    spec = F.concat_ws("/", *[F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit(NO_VALUE))) for c in partition])
+    written = Observation("partitions")
+    replace_partitions(df.observe(written, F.collect_set(spec).alias("specs")), name)
+    for row in spark.sql(f"SHOW PARTITIONS {name}").collect():
+        if row["partition"] not in written.get["specs"]:
+            values = [part.split("=", 1) for part in row["partition"].split("/")]
+            dropped = ", ".join(f"`{c}` = " + ("NULL" if v == NO_VALUE else f"'{v}'") for c, v in values)
+            spark.sql(f"ALTER TABLE {name} DROP PARTITION ({dropped})")
 
 
 @contextmanager
@@ -89,21 +118,18 @@ def stale_partitions(source: DataFrame, aggregate: DataFrame, rows: str, partiti
 
 
 def merge_table(updates: DataFrame, name: str, key: str, cluster: Sequence[str] = ()) -> None:
-    """Upsert into a table: write the merged version beside it, then swap names.
+    """Upsert into an unpartitioned table, by writing its merged version and swapping names.
 
     The updates are stored first: they are read twice, may be derived from the
-    table itself, and if small are then broadcast instead of shuffling it. A run that dies while writing leaves the table as it was; one that dies
+    table itself, and if small are then broadcast instead of shuffling it. A
+    run that dies while writing leaves the table as it was; one that dies
     during the swap is finished by the next ``recover_swap``.
     """
     spark = updates.sparkSession
     recover_swap(spark, name)
-    if not spark.catalog.tableExists(name):
-        write_table(updates, name, cluster=cluster)
-        return
-    merged = merge_upsert(spark.table(name), stored(updates, "updates"), key)
-    write_table(merged, f"{name}__next", cluster=cluster)
-    spark.sql(f"DROP TABLE {name}")
-    recover_swap(spark, name)
+    if spark.catalog.tableExists(name):
+        updates = merge_upsert(spark.table(name), stored(updates, "updates"), key)
+    write_table(updates, name, cluster=cluster)
 
 
 def recover_swap(spark: SparkSession, name: str) -> None:
