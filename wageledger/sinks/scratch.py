@@ -11,14 +11,25 @@ SETTING = "spark.checkpoint.dir"
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a local temporary one only where none is named."""
+    """The shared folder the cluster names.
+
+    A single-machine session without one gets a temporary folder; a cluster
+    must name one, since its machines do not see each other's disks.
+    """
     folder = spark.conf.get(SETTING, None) or spark.sparkContext.getConf().get(SETTING)
     if not folder:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError(f"set {SETTING} to a folder that driver and executors share")
         folder = tempfile.mkdtemp(prefix="wageledger-")
         spark.conf.set(SETTING, folder)
     return folder
 
 
+def new_path(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that nothing else uses."""
+    return f"{scratch_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -26,6 +37,6 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     true size, so a small table is broadcast and a large one is not.
     """
     spark = df.sparkSession
-    path = f"{scratch_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = new_path(spark, name)
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
