@@ -26,7 +26,7 @@ m AS (
 ),
 f AS (
     SELECT *, CAST((n_words < 50)::INT + 2 * (100 * n_repeat_words > 50 * n_words)::INT + 4 * (100 * n_symbols > 20 * n_words)::INT
-        + 8 * (100 * n_dup_lines > 30 * n_lines)::INT + 16 * (word_chars < 2 * n_words OR word_chars > 20 * n_words)::INT
+        + 8 * (100 * n_dup_lines > 50 * n_lines)::INT + 16 * (word_chars < 2 * n_words OR word_chars > 20 * n_words)::INT
         + 32 * (100 * n_upper > 50 * n_letters)::INT + 64 * (10 * n_letters < 4 * word_chars)::INT AS BIGINT) AS failures
     FROM m
 )
@@ -35,6 +35,34 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, fail
 FROM f
 """
 
+WARC_CAPTURES = r"""
+WITH p AS (
+    SELECT page_id, regexp_replace(url, '[\x00-\x20\x7f]', '%20', 'g') AS target_uri, coalesce(html, '') AS h,
+        strlen(coalesce(html, '')) AS n
+    FROM pages
+),
+g AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS last FROM p)
+SELECT page_id, n AS payload_bytes, sha1(h) AS payload_digest, target_uri,
+    CASE WHEN n >= 1000 AND page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN n >= 1000 AND page_id <> last THEN last END AS refers_to
+FROM g
+"""
+
+# The weights and the seed are those of the query.
+SOURCE_MIX = """
+WITH d AS (SELECT *, CASE WHEN source IN ('src0', 'src1', 'src2') THEN source ELSE '*' END AS g FROM documents),
+size AS (SELECT g, sum(length(text)) AS n FROM d GROUP BY g),
+weight(g, w) AS (VALUES ('src0', 0.25::DOUBLE), ('src1', 0.10), ('src2', 0.10), ('*', 0.55)),
+mean AS (SELECT g, w * (SELECT sum(n) FROM size)::DOUBLE / n AS m FROM size JOIN weight USING (g)),
+steps AS (SELECT g, m, k, CASE WHEN k = 0 THEN 0.0 ELSE ln(m / k) END AS l FROM mean, range(0, 80) t(k)),
+logs AS (SELECT g, k, exp(sum(l) OVER (PARTITION BY g ORDER BY k) - m) AS p FROM steps),
+cdf AS (SELECT g, k, sum(p) OVER (PARTITION BY g ORDER BY k) AS c FROM logs),
+u AS (SELECT *, ('0x' || md5('2024:' || doc_id || ':0')[1:13])::BIGINT / 4503599627370496.0::DOUBLE AS u FROM d),
+n AS (SELECT doc_id, (SELECT count(*) FROM cdf WHERE cdf.g = u.g AND c <= u.u) AS n FROM u)
+SELECT d.* EXCLUDE (g), copy_no::INTEGER AS copy_no, md5('2024:place:' || doc_id || ':' || copy_no) AS place
+FROM (SELECT doc_id, unnest(range(0, n)) AS copy_no FROM n) JOIN d USING (doc_id)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_rule_ledger": RULE_LEDGER}
+    return {"op3_warc_captures": WARC_CAPTURES, "op4_rule_ledger": RULE_LEDGER, "op10_source_mix": SOURCE_MIX}

@@ -4,10 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wageledger.llm import quality_rules, simhash
+from wageledger.llm import mixing, packing, quality_rules, simhash, warc
+from wageledger.sinks.scratch import new_path
+
+TOKENIZER = "word_bpe_49k.json"
+# Target shares of characters: the crawl's largest source is cut back, two smaller ones are raised.
+WEIGHTS = {"src0": 0.25, "src1": 0.10, "src2": 0.10, mixing.REST: 0.55}
+MIX_SEED = 2024
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +29,28 @@ def op1_simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
     return groups.select("doc_id", simhash.hexadecimal("fp").alias("fingerprint"), "component_id")
 
 
+def op3_warc_captures(spark: SparkSession, folder: str) -> DataFrame:
+    path = new_path(spark, "archives")
+    warc.write(warc.captures_of(table(spark, folder, "pages")), path)
+    captures = warc.transactions(warc.read(spark, path, payloads=False))
+    response, about = F.col("response"), F.col("metadata")[0]["fields"]
+    captures = captures.select(
+        "capture",
+        about["page_id"].cast("long").alias("page_id"),
+        response["record_type"].alias("record_type"),
+        response["refers_to"].alias("refers_to_record"),
+        response["fields"]["content-length"].cast("long").alias("payload_bytes"),
+        F.when(response["record_type"] == "revisit", F.substring_index(response["declared_digest"], ":", -1))
+        .otherwise(response["payload_digest"])
+        .alias("payload_digest"),
+        response["target_uri"].alias("target_uri"),
+    )
+    stored = captures.select(F.col("capture").alias("refers_to_record"), F.col("page_id").alias("refers_to"))
+    return captures.join(stored, "refers_to_record", "left").select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "target_uri"
+    )
+
+
 def op4_rule_ledger(spark: SparkSession, folder: str) -> DataFrame:
     rows = quality_rules.ledger(table(spark, folder, "documents"))
     base = quality_rules.passes(quality_rules.BASE)
@@ -38,7 +67,19 @@ def op4_rule_ledger(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_packed_sequences(spark: SparkSession, folder: str) -> DataFrame:
+    parts = packing.pieces(table(spark, folder, "documents"), public_tokenizers.path(TOKENIZER), limit=4096)
+    return packing.pack(parts, limit=4096)
+
+
+def op10_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(table(spark, folder, "documents"), WEIGHTS, seed=MIX_SEED)
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash_groups": op1_simhash_groups,
+    "op3_warc_captures": op3_warc_captures,
     "op4_rule_ledger": op4_rule_ledger,
+    "op7_packed_sequences": op7_packed_sequences,
+    "op10_source_mix": op10_source_mix,
 }

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wageledger.llm.graph import components
-from wageledger.llm.text import map_text, words
+from wageledger.llm.text import free_name, map_text, words
 from wageledger.sinks.scratch import stored
 
 SEED = 42
@@ -152,7 +152,7 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", shingle: int = 3, distance
     hashes. A null key counts as the largest.
     """
     columns = docs.columns
-    rows = ["__row1", "__row2"]
+    rows = [free_name(docs, name) for name in ("row_1", "row_2")]
     docs = docs.withColumns({r: F.xxhash64(F.lit(i), *(docs[c] for c in columns)) for i, r in enumerate(rows)})
     groups = near_duplicates(fingerprints(docs, [key, *rows], shingle, text), key, distance)
     first = F.min(F.struct(F.col(key).isNull().alias("unnamed"), F.col(key).alias("key"), *rows))

@@ -18,6 +18,14 @@ def words(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").split()
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def map_text(
     df: DataFrame, text_column: str, measure: Callable[[str | None], Iterable[tuple]], fields: str, keep: list[str]
 ) -> DataFrame:
@@ -29,7 +37,7 @@ def map_text(
     added = T._parse_datatype_string(fields)
     schema = T.StructType([df.schema[c] for c in keep] + added.fields)
     arrow = to_arrow_schema(schema)
-    source = "__text"
+    source = free_name(df, "text_")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
