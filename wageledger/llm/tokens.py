@@ -9,15 +9,25 @@ go to the tokenizer whole.
 from __future__ import annotations
 
 import re
+import struct
 
-import numpy as np
 from tokenizers import Tokenizer
 
 # ASCII and precomposed letters of Latin-1: lower-cased one by one, nothing to compose.
 PLAIN = re.compile("[\t\n\r -~À-ÖØ-öø-ÿ]*")
 # What the tokenizer's own split makes of such a text.
 PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\\sa-zß-öø-ÿ0-9]+")
-HELD = 400_000
+# Entries kept per worker: about 200 bytes each.
+WORDS_HELD, PARTS_HELD = 500_000, 1_200_000
+
+
+def _byte_letters() -> dict[int, int]:
+    """Letters that stand for bytes in the vocabulary: printable ones for themselves, the others from 256 on."""
+    own = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    return {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in own)}
+
+
+LETTERS = _byte_letters()
 
 _encoders: dict[str, Encoder] = {}
 
@@ -50,20 +60,22 @@ class Encoder:
             return b"".join([self.words[w] for w in found])
 
     def _learn(self, words: set[str]) -> None:
-        if len(self.words) > HELD:
+        if len(self.words) > WORDS_HELD:
             self.words = {}
-        if len(self.parts) > HELD:
+        if len(self.parts) > PARTS_HELD:
             self.parts = {}
-        new = {w: PARTS.findall(w) for w in words if w not in self.words}
-        parts = list({p for ps in new.values() for p in ps if p not in self.parts})
-        for part, code in zip(parts, self.tokenizer.encode_batch(parts, add_special_tokens=False), strict=True):
-            self.parts[part] = self._bytes(code.ids)
-        for word, ps in new.items():
-            self.words[word] = b"".join([self.parts[p] for p in ps])
-        # after clearing, words of this text may be gone
-        for word in words - self.words.keys():
-            self.words[word] = self._bytes(self.tokenizer.encode(word, add_special_tokens=False).ids)
+        known, tokenize = self.parts, self.tokenizer.model.tokenize
+        for word in words:
+            if word not in self.words:
+                codes = []
+                for part in PARTS.findall(word):
+                    code = known.get(part)
+                    if code is None:
+                        spelt = part.encode().decode("latin-1").translate(LETTERS)
+                        code = known[part] = self._bytes([t.id for t in tokenize(spelt)])
+                    codes.append(code)
+                self.words[word] = b"".join(codes)
 
     @staticmethod
     def _bytes(ids: list[int]) -> bytes:
-        return np.asarray(ids, "<u4").tobytes()
+        return struct.pack(f"<{len(ids)}I", *ids)
