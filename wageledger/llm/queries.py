@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wageledger.llm import mixing, packing, quality_rules, simhash, warc
-from wageledger.sinks.scratch import new_path
+from wageledger.sinks.scratch import new_path, stored
 
 TOKENIZER = "word_bpe_49k.json"
 # Target shares of characters: the crawl's largest source is cut back, two smaller ones are raised.
@@ -32,7 +32,7 @@ def op1_simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
 def op3_warc_captures(spark: SparkSession, folder: str) -> DataFrame:
     path = new_path(spark, "archives")
     warc.write(warc.captures_of(table(spark, folder, "pages")), path)
-    captures = warc.transactions(warc.read(spark, path, payloads=False))
+    captures = warc.transactions(stored(warc.read(spark, path, payloads=False), "records"))
     response, about = F.col("response"), F.col("metadata")[0]["fields"]
     captures = captures.select(
         "capture",
@@ -45,8 +45,9 @@ def op3_warc_captures(spark: SparkSession, folder: str) -> DataFrame:
         .alias("payload_digest"),
         response["target_uri"].alias("target_uri"),
     )
-    stored = captures.select(F.col("capture").alias("refers_to_record"), F.col("page_id").alias("refers_to"))
-    return captures.join(stored, "refers_to_record", "left").select(
+    captures = stored(captures, "captures")
+    first = captures.select(F.col("capture").alias("refers_to_record"), F.col("page_id").alias("refers_to"))
+    return captures.join(first, "refers_to_record", "left").select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "target_uri"
     )
 
