@@ -21,6 +21,7 @@ other columns of the input are not touched.
 from __future__ import annotations
 
 import bisect
+import hashlib
 import zlib
 from collections.abc import Iterator
 from pathlib import Path
@@ -46,11 +47,12 @@ WELL_FILLED = 0.99
 
 def pieces(docs: DataFrame, tokenizer: str | Path, limit: int = 4096, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key, piece, start, length, ids_crc32``; only documents over ``limit`` tokens are cut."""
-    config = docs.sparkSession.sparkContext.broadcast(Path(tokenizer).read_text(encoding="utf-8"))
+    config = Path(tokenizer).read_text(encoding="utf-8")
+    name, config = hashlib.sha256(config.encode()).hexdigest(), docs.sparkSession.sparkContext.broadcast(config)
     end = np.asarray([END_ID], "<u4").tobytes()
 
     def measure(value: str | None) -> Iterator[tuple]:
-        ids = Encoder.shared(config.value).encode(value or "") + end
+        ids = Encoder.shared(name, lambda: config.value).encode(value or "") + end
         for piece, at in enumerate(range(0, len(ids), 4 * limit)):
             part = ids[at : at + 4 * limit]
             yield piece, at // 4, len(part) // 4, zlib.crc32(part)

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 import struct
+from collections.abc import Callable
 
 from tokenizers import Tokenizer
 
@@ -41,12 +42,12 @@ class Encoder:
         self.parts: dict[str, bytes] = {}
 
     @classmethod
-    def shared(cls, config: str) -> Encoder:
-        """One per worker and tokenizer; it outlives the task."""
-        if config not in _encoders:
+    def shared(cls, name: str, config: Callable[[], str]) -> Encoder:
+        """One per worker and tokenizer; it outlives the task. ``name`` is a digest of the file."""
+        if name not in _encoders:
             _encoders.clear()
-            _encoders[config] = cls(config)
-        return _encoders[config]
+            _encoders[name] = cls(config())
+        return _encoders[name]
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit numbers."""
