@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wageledger.llm import mixing, packing, quality_rules, simhash, warc
+from wageledger.llm import line_dedup, mixing, packing, quality_rules, secrets, simhash, warc
 from wageledger.sinks.scratch import new_path, stored
 
 TOKENIZER = "word_bpe_49k.json"
@@ -68,6 +68,27 @@ def op4_rule_ledger(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_removed_lines(spark: SparkSession, folder: str) -> DataFrame:
+    gone = line_dedup.removed_lines(table(spark, folder, "documents"))
+    return gone.select(
+        F.col("occ.key").alias("doc_id"),
+        F.col("occ.line_no").alias("line_no"),
+        F.col("kept.key").alias("kept_doc_id"),
+        F.col("kept.line_no").alias("kept_line_no"),
+        "edits",
+    )
+
+
+def op6_secret_spans(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.scan(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id",
+        *(secrets.count("base", kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")),
+        F.sha2(secrets.listed("base"), 256).alias("base_sha256"),
+        secrets.listed("spans").alias("spans"),
+    )
+
+
 def op7_packed_sequences(spark: SparkSession, folder: str) -> DataFrame:
     parts = packing.pieces(table(spark, folder, "documents"), public_tokenizers.path(TOKENIZER), limit=4096)
     return packing.pack(parts, limit=4096)
@@ -81,6 +102,8 @@ QUERIES: dict[str, Query] = {
     "op1_simhash_groups": op1_simhash_groups,
     "op3_warc_captures": op3_warc_captures,
     "op4_rule_ledger": op4_rule_ledger,
+    "op5_removed_lines": op5_removed_lines,
+    "op6_secret_spans": op6_secret_spans,
     "op7_packed_sequences": op7_packed_sequences,
     "op10_source_mix": op10_source_mix,
 }
