@@ -82,11 +82,20 @@ SELECT doc_id, line_no::INTEGER AS line_no, kept[1] AS kept_doc_id, kept[2]::INT
 FROM o JOIN f USING (w) WHERE (doc_id, line_no) <> kept
 """
 
+EMBEDDING_GROUPS = """
+WITH RECURSIVE e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings WHERE list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[]) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM e a JOIN e b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.95),
+r(a, b) AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+c AS (SELECT vec_id, least(vec_id, coalesce(min(b), vec_id)) AS component_id FROM embeddings LEFT JOIN r ON a = vec_id GROUP BY vec_id)
+SELECT vec_id, (SELECT count(*) FROM l WHERE l.a = c.vec_id) AS n_links, component_id, vec_id = component_id AS kept FROM c
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_warc_captures": WARC_CAPTURES,
         "op4_rule_ledger": RULE_LEDGER,
         "op5_removed_lines": REMOVED_LINES,
+        "op9_embedding_groups": EMBEDDING_GROUPS,
         "op10_source_mix": SOURCE_MIX,
     }

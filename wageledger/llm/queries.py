@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wageledger.llm import line_dedup, mixing, packing, quality_rules, secrets, simhash, warc
+from wageledger.llm import embedding_groups, languages, line_dedup, mixing, packing, quality_model, quality_rules, secrets, simhash, warc
 from wageledger.sinks.scratch import new_path, stored
 
 TOKENIZER = "word_bpe_49k.json"
@@ -29,6 +29,14 @@ def op1_simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
     return groups.select("doc_id", simhash.hexadecimal("fp").alias("fingerprint"), "component_id")
 
 
+def op2_language_mixtures(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    model = languages.learn(docs.where(~held_out))
+    found = languages.identify(docs, model, ["doc_id"])
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", F.to_json("mixture").alias("mixture"))
+
+
 def op3_warc_captures(spark: SparkSession, folder: str) -> DataFrame:
     path = new_path(spark, "archives")
     warc.write(warc.captures_of(table(spark, folder, "pages")), path)
@@ -94,16 +102,30 @@ def op7_packed_sequences(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(parts, limit=4096)
 
 
+def op8_quality_scores(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = quality_model.train(docs, table(spark, folder, "labels"))
+    scored = quality_model.score(docs.select("doc_id", "text", "source", "lang"), model)
+    return scored.select("doc_id", "score", (F.col("score") >= quality_model.THRESHOLD).alias("kept"))
+
+
+def op9_embedding_groups(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_groups.near_duplicates(table(spark, folder, "embeddings"), threshold=0.95)
+
+
 def op10_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"), WEIGHTS, seed=MIX_SEED)
 
 
 QUERIES: dict[str, Query] = {
     "op1_simhash_groups": op1_simhash_groups,
+    "op2_language_mixtures": op2_language_mixtures,
     "op3_warc_captures": op3_warc_captures,
     "op4_rule_ledger": op4_rule_ledger,
     "op5_removed_lines": op5_removed_lines,
     "op6_secret_spans": op6_secret_spans,
     "op7_packed_sequences": op7_packed_sequences,
+    "op8_quality_scores": op8_quality_scores,
+    "op9_embedding_groups": op9_embedding_groups,
     "op10_source_mix": op10_source_mix,
 }
