@@ -27,14 +27,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wageledger.llm.text import free_name
+from wageledger.llm.text import BLANKS, free_name
 from wageledger.sinks.scratch import stored
 
 LEAST = 8
 
 
 def _words(line: Column) -> Column:
-    return F.filter(F.split(line, "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    # a line of blanks is one empty word
+    return F.split(F.btrim(line, F.lit(BLANKS)), "[\\x20\\x09-\\x0D]+")
 
 
 def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
