@@ -84,19 +84,20 @@ class Linear:
         return x @ self.weights + self.bias
 
     @classmethod
-    def fit(cls, x: np.ndarray, y: np.ndarray, l2: float = 1e-4, steps: int = 150, rate: float = 0.1) -> Linear:
-        """Full-batch Adam with both classes at equal weight."""
+    def fit(cls, x: np.ndarray, y: np.ndarray, l2: float = 1e-4, steps: int = 150, rate: float = 0.1, balanced: bool = True) -> Linear:
+        """Full-batch Adam; ``balanced`` gives both classes equal weight, else scores are calibrated to the rows."""
         x, y = x.astype(np.float32), y.astype(np.float32)
         share = np.where(y > 0.5, 0.5 / max(1, (y > 0.5).sum()), 0.5 / max(1, (y <= 0.5).sum())).astype(np.float32)
-        w, b = np.zeros(x.shape[1] + 1, np.float32), 0
+        if not balanced:
+            share = np.full(len(y), 1 / len(y), np.float32)
+        w = np.zeros(x.shape[1] + 1, np.float32)
         m, v = np.zeros_like(w), np.zeros_like(w)
         for t in range(1, steps + 1):
             error = share * (_sigmoid(x @ w[:-1] + w[-1]) - y)
             grad = np.append(x.T @ error + l2 * w[:-1], error.sum())
             m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
             w = w - rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
-        b = float(w[-1])
-        return cls(w[:-1].astype(np.float32), b)
+        return cls(w[:-1].astype(np.float32), float(w[-1]))
 
 
 @dataclass(frozen=True)
@@ -137,7 +138,7 @@ def co_train(a: np.ndarray, b: np.ndarray, y: np.ndarray, free_a: np.ndarray, fr
         given: list[tuple[np.ndarray, np.ndarray]] = []
         for model, view, other in zip(models, free, (1, 0), strict=True):
             # confidence is judged on the calibrated scale of the view
-            scale = Linear.fit(model.logit((a, b)[1 - other][test])[:, None] / 4, y[test])
+            scale = Linear.fit(model.logit((a, b)[1 - other][test])[:, None] / 4, y[test], balanced=False)
             p = _sigmoid(scale.logit(model.logit(view)[:, None] / 4))
             p[~left] = 0.5
             good, bad = np.argsort(-p)[:EXCHANGED], np.argsort(p)[:EXCHANGED]
@@ -151,7 +152,7 @@ def co_train(a: np.ndarray, b: np.ndarray, y: np.ndarray, free_a: np.ndarray, fr
             left[rows] = False
         models = [Linear.fit(*s) for s in sets]
     views = np.stack([models[0].logit(a[test]), models[1].logit(b[test])], axis=1)
-    return Model(*models, Linear.fit(np.clip(views, -20, 20) / 4, y[test], steps=300))
+    return Model(*models, Linear.fit(np.clip(views, -20, 20) / 4, y[test], steps=300, balanced=False))
 
 
 def _features(docs: DataFrame, names: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
