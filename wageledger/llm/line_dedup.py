@@ -41,10 +41,10 @@ def _words(line: Column) -> Column:
 def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
     """``occ`` (place of the row in the order, and line number), ``words`` and ``n`` of each line."""
     row = F.xxhash64(*(docs[c] for c in docs.columns))
-    cut = docs.select(
-        F.col(key).isNull().alias("unnamed"), F.col(key).alias("key"), row.alias("row"), F.posexplode(F.split(text, "\n")).alias("line_no", "line")
-    )
-    cut = cut.select(F.struct("unnamed", "key", "row", "line_no").alias("occ"), _words(F.col("line")).alias("words"))
+    # words are split inside the generator, so once per line, however often they are used
+    lines = F.transform(F.split(text, "\n"), _words)
+    cut = docs.select(F.col(key).isNull().alias("unnamed"), F.col(key).alias("key"), row.alias("row"), F.posexplode(lines).alias("line_no", "words"))
+    cut = cut.select(F.struct("unnamed", "key", "row", "line_no").alias("occ"), "words")
     return cut.withColumn("n", F.size("words"))
 
 
@@ -80,8 +80,9 @@ def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", leas
         raise ValueError("lines of one word are all one edit apart")
     all_lines = _named(_lines(docs, key, text).where(F.col("n") >= least))
     halves = [f"k{i}" for i in range(4)]
-    known = all_lines.select("h", "g", "n", "occ", *(k.alias(a) for k, a in zip(_halves(), halves, strict=True)))
-    known = known.groupBy("h", "g").agg(
+    all_lines = all_lines.select("h", "g", "n", "occ", *(k.alias(a) for k, a in zip(_halves(), halves, strict=True)))
+    all_lines = stored(all_lines, "all_lines")  # hashes and places only
+    known = all_lines.groupBy("h", "g").agg(
         F.min("occ").alias("rep"), F.count("*").alias("times"), F.min("n").alias("n"), *(F.min(k).alias(k) for k in halves)
     )
     known = stored(known, "lines")
@@ -110,7 +111,12 @@ def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", leas
     v = F.col("a_to").bitwiseXOR(F.col("a")).bitwiseXOR(F.col("b_all")).bitwiseXOR(F.col("b_to"))
     me = F.struct("rep", "h", "g")
     variants = stored(each.select(me.alias("me"), v.alias("v"), "i", (F.col("n") - 1).alias("m"), F.when(F.col("i") == F.col("n") - 1, F.col("a_to")).alias("whole")), "variants")
-    wholes = variants.where(F.col("whole").isNotNull()).select(F.col("me").alias("short"), F.col("whole").alias("v"), (F.col("m") + 1).alias("m"))
+    wholes = variants.where(F.col("whole").isNotNull()).select("me", F.col("whole").alias("v"), F.lit(-1).alias("i"), (F.col("m") + 1).alias("m"))
+    # only variants in which lines meet go on
+    emitted = variants.select("me", "v", "i", "m").union(wholes)
+    meeting = emitted.groupBy("v", "m").agg(F.count("*").alias("c")).where("c > 1").drop("c")
+    emitted = stored(emitted.join(meeting, ["v", "m"], "left_semi"), "meeting")
+    variants, wholes = emitted.where("i >= 0"), emitted.where("i < 0").select(F.col("me").alias("short"), "v", "m")
 
     earliest = variants.groupBy("v", "i", "m").agg(F.min("me").alias("other"), F.count("*").alias("c")).where("c > 1").drop("c")
     changed = variants.join(earliest, ["v", "i", "m"]).select("me", "other")
