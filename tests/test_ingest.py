@@ -151,3 +151,84 @@ def test_stream_loads_each_file_once(spark, tmp_path, raw):
     counts = {r["source_file"]: r["count"] for r in spark.table(raw).groupBy("source_file").count().collect()}
     assert counts == {"payroll_1.csv": 2, "payroll_2.csv": 1}
     assert ingest(spark, str(landing), raw, RUN) is None
+
+
+def test_damaged_snapshot_lands_nothing(spark, tmp_path):
+    header = ",".join(["Year", "Name", *RAW_COLUMNS[2:]])
+    put(tmp_path, "published.csv", line(), line(who='"Doe\nJo"'), header=header)
+    landing = tmp_path / "landing"
+    with pytest.raises(FAILED):
+        extract(spark, str(tmp_path / "published.csv"), str(landing), "salt", RUN)
+    assert not list(landing.rglob("_SUCCESS"))
+
+
+def test_multiline_snapshot_round_trip(spark, tmp_path, raw):
+    header = ",".join(["Year", "Name", *RAW_COLUMNS[2:]])
+    put(tmp_path, "published.csv", line(), line(who='"Doe\nJo"', agency='"Bus\nNorth"'), line(who="Doe"), header=header)
+    landing = str(tmp_path / "landing")
+    extract(spark, str(tmp_path / "published.csv"), landing, "salt", RUN, multiline=True)
+    assert ingest(spark, landing, raw, RUN, multiline=True) == 3
+    rows = spark.table(raw).collect()
+    assert sorted(r["Working_Agency"] for r in rows) == ["Bus", "Bus", "Bus\nNorth"]
+    assert not any("Doe" in str(v) or "Jo" in str(v) for r in rows for v in r)
+
+
+def test_one_name_in_two_folders_is_refused(spark, tmp_path, raw, monkeypatch):
+    monkeypatch.setattr("wageledger.plans.ingest.BATCH_FILES", 1)
+    landing = tmp_path / "landing"
+    put(landing, "payroll_0.csv", line())
+    for folder in ("a", "b"):
+        put(landing / folder, "payroll_1.csv", line(who=folder))
+    with pytest.raises(ValueError, match="payroll_1.csv"):
+        ingest(spark, str(landing), raw, RUN)
+    assert not spark.catalog.tableExists(raw)
+
+
+def test_batches_load_what_one_job_loads(spark, tmp_path, raw, monkeypatch):
+    monkeypatch.setattr("wageledger.plans.ingest.BATCH_FILES", 2)
+    for i in range(5):
+        put(tmp_path / "landing", f"payroll_{i}.csv", line(who=f"h{i}"))
+    assert ingest(spark, str(tmp_path / "landing"), raw, RUN) == 5
+    assert {r["name_hash"] for r in spark.table(raw).collect()} == {f"h{i}" for i in range(5)}
+
+
+def test_late_part_of_a_folder(spark, tmp_path, raw):
+    part = tmp_path / "landing" / "payroll_1.csv"
+    part.parent.mkdir()
+    put(part, "part-0.csv", line())
+    assert ingest(spark, str(tmp_path / "landing"), raw, RUN) is None
+    put(part, "part-1.csv", line(who="h2"))
+    (part / "_SUCCESS").touch()
+    assert ingest(spark, str(tmp_path / "landing"), raw, RUN) == 2
+
+
+def test_late_part_in_a_stream(spark, tmp_path, raw):
+    part, checkpoint = tmp_path / "landing" / "payroll_1.csv", str(tmp_path / "checkpoint")
+    part.parent.mkdir()
+    put(part, "part-0.csv", line())
+    with pytest.raises(FAILED, match="not complete"):
+        ingest_stream(spark, str(part.parent), raw, checkpoint).awaitTermination(120)
+    put(part, "part-1.csv", line(who="h2"))
+    (part / "_SUCCESS").touch()
+    assert ingest_stream(spark, str(part.parent), raw, checkpoint).awaitTermination(120)
+    assert sorted(r["name_hash"] for r in spark.table(raw).collect()) == ["h1", "h2"]
+
+
+def test_lost_file_is_noticed_without_news(spark, tmp_path, raw):
+    landing = tmp_path / "landing"
+    put(landing, "payroll_1.csv", line())
+    ingest(spark, str(landing), raw, RUN)
+    (landing / "payroll_1.csv").rename(landing / "kept.txt")
+    put(landing, "notes.txt", "x")
+    with pytest.raises(ValueError, match="0 files landed but 1 loaded"):
+        ingest(spark, str(landing), raw, RUN)
+
+
+def test_required_columns_and_descriptions(spark, tmp_path, raw):
+    schema = schema_from_fields([{"name": "a", "mode": "REQUIRED", "description": "the 'a'"}, {"name": "b"}])
+    put(tmp_path / "landing", "payroll_1.csv", ",x", header="a,b")
+    with pytest.raises(FAILED, match="required column a"):
+        ingest(spark, str(tmp_path / "landing"), raw, RUN, schema)
+    put(tmp_path / "landing", "payroll_1.csv", "1,", header="a,b")
+    assert ingest(spark, str(tmp_path / "landing"), raw, RUN, schema) == 1
+    assert {c.name: c.description for c in spark.catalog.listColumns(raw)}["a"] == "the 'a'"

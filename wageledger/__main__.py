@@ -23,6 +23,8 @@ def parser() -> argparse.ArgumentParser:
     for name in ("extract", "load", "transform", "all"):
         job = jobs.add_parser(name)
         job.add_argument("--shuffle-bytes", type=int, help="expected size of the largest shuffle")
+        if name != "transform":
+            job.add_argument("--multiline", action="store_true", help="accept line breaks inside quoted fields")
         if name in ("extract", "all"):
             job.add_argument("--snapshot", required=True, help="path of the published CSV")
             job.add_argument("--salt-file", required=True, help="file holding the hashing salt")
@@ -32,6 +34,7 @@ def parser() -> argparse.ArgumentParser:
             job.add_argument("--schema", help="JSON schema of the landed files")
         if name in ("transform", "all"):
             job.add_argument("--incremental", action="store_true", help="merge new people instead of a full refresh")
+            job.add_argument("--latest-snapshot", action="store_true", help="use the last landed file only")
             job.add_argument("--lenient", action="store_true", help="report failed checks instead of stopping")
     return top
 
@@ -46,12 +49,12 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         salt = Path(args.salt_file).read_text(encoding="utf-8").strip()
         if not salt:
             raise ValueError("the salt is empty")
-        log.info("landed %s", extract(spark, args.snapshot, args.landing, salt, run_ts))
+        log.info("landed %s", extract(spark, args.snapshot, args.landing, salt, run_ts, args.multiline))
     if args.job in ("load", "all"):
         schema = schema_from_json(args.schema) if args.schema else None
-        log.info("raw rows: %s", ingest(spark, args.landing, Tables().raw, run_ts, schema))
+        log.info("raw rows: %s", ingest(spark, args.landing, Tables().raw, run_ts, schema, multiline=args.multiline))
     if args.job in ("transform", "all"):
-        failures = transform(spark, run_ts, full_refresh=not args.incremental, strict=not args.lenient)
+        failures = transform(spark, run_ts, full_refresh=not args.incremental, strict=not args.lenient, latest_only=args.latest_snapshot)
         for failure in failures:
             log.warning("check failed: %s", failure)
 

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import logging
 from datetime import datetime
+from itertools import batched
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wageledger.operators.checks import reconcile_files
@@ -13,18 +15,19 @@ from wageledger.operators.names import anonymize, missing_count
 from wageledger.operators.staging import with_audit
 from wageledger.schemas import landed_schema, raw_schema
 from wageledger.sinks.landing import land_snapshot
+from wageledger.sinks.scratch import stored
 from wageledger.sinks.tables import replace_partitions
-from wageledger.sources.landing import list_landed, new_files, read_landed, read_snapshot
+from wageledger.sources.landing import is_complete, list_landed, new_files, read_landed, read_snapshot, repeated_names
 
 log = logging.getLogger(__name__)
 
-# Files per load job: bounds the file list one job carries.
+# Files per load job: bounds the file list one job carries. It has no effect on what is loaded.
 BATCH_FILES = 10_000
 
 
-def extract(spark: SparkSession, snapshot: str, landing: str, salt: str, run_ts: datetime) -> str:
+def extract(spark: SparkSession, snapshot: str, landing: str, salt: str, run_ts: datetime, multiline: bool = False) -> str:
     """Anonymize a published snapshot and land it in one pass; returns the landed path."""
-    df = read_snapshot(spark, snapshot)
+    df = read_snapshot(spark, snapshot, multiline)
     if "Name" not in df.columns:
         log.warning("no column 'Name': nothing to anonymize")
         return land_snapshot(df, landing, run_ts)
@@ -35,14 +38,34 @@ def extract(spark: SparkSession, snapshot: str, landing: str, salt: str, run_ts:
     return path
 
 
+def _column(field: T.StructField) -> str:
+    note = field.metadata.get("comment")
+    text = f"`{field.name}` {field.dataType.simpleString()}"
+    if note:
+        text += " COMMENT '" + note.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return text
+
+
 def ensure_raw(spark: SparkSession, name: str, schema: T.StructType | None = None) -> None:
-    """Create the raw table on first use, one partition per source file."""
+    """Create the raw table on first use, with the described columns, one partition per source file."""
     if spark.catalog.tableExists(name):
         return
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in raw_schema(schema).fields)
+    columns = ", ".join(_column(f) for f in raw_schema(schema).fields)
     spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY (source_file)")
 
 
+def required(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    """``rows`` as they are; a NULL in a column that ``schema`` requires fails the job that reads them."""
+    checked = {
+        f.name: F.when(F.col(f.name).isNull(), F.raise_error(F.lit(f"required column {f.name} is NULL")).cast(f.dataType)).otherwise(
+            F.col(f.name)
+        )
+        for f in schema.fields
+        if not f.nullable
+    }
+    return rows.withColumns(checked) if checked else rows
+
+
 def append_raw(rows: DataFrame, name: str) -> None:
     """Add audited rows to the raw table.
 
@@ -53,6 +76,27 @@ def append_raw(rows: DataFrame, name: str) -> None:
     replace_partitions(rows, name)
 
 
+def load_objects(
+    spark: SparkSession,
+    paths: list[str],
+    raw: str,
+    run_ts: datetime,
+    schema: T.StructType,
+    mode: str = "FAILFAST",
+    multiline: bool = False,
+) -> None:
+    """Load whole landed objects, replacing what the raw table has of them."""
+    rows = read_landed(spark, paths, schema, mode, multiline)
+    append_raw(with_audit(required(rows, schema), run_ts), raw)
+
+
+def refuse_repeated(landed: DataFrame) -> None:
+    """Raises if two objects share a name: the raw table could keep only one of them."""
+    twice = [row["source_file"] for row in repeated_names(landed).limit(5).collect()]
+    if twice:
+        raise ValueError(f"landed more than once under one name: {', '.join(sorted(twice))}")
+
+
 def ingest(
     spark: SparkSession,
     landing: str,
@@ -60,30 +104,41 @@ def ingest(
     run_ts: datetime,
     schema: T.StructType | None = None,
     mode: str = "FAILFAST",
+    multiline: bool = False,
 ) -> int | None:
     """Load the landed files the raw table lacks; returns its row count, or None if there was nothing new.
 
-    Raises if the landed and loaded file counts disagree afterwards.
+    Landed folders without their ``_SUCCESS`` marker are still being written
+    and wait for a later run. Raises if two objects share a name, before
+    anything is loaded, and if the landed and loaded file counts disagree
+    afterwards, whether or not anything was new.
     """
     schema = schema or landed_schema()
-    landed = list_landed(spark, landing)
+    landed = stored(list_landed(spark, landing), "landed")
+    refuse_repeated(landed)
     ledger = spark.table(raw) if spark.catalog.tableExists(raw) else None
-    # file names only: the driver needs them to plan the read
-    todo = new_files(landed, ledger).join(landed, "source_file").orderBy("source_file").collect()
-    if not todo:
+    todo = stored(new_files(landed, ledger).join(landed, "source_file"), "new_files").orderBy("source_file")
+    loaded, waiting = 0, 0
+    # one batch of file names at a time on the driver
+    for batch in batched(todo.toLocalIterator(), BATCH_FILES):
+        whole = [row["landed_object"] for row in batch if not row["in_parts"] or is_complete(spark, row["landed_object"])]
+        waiting += len(batch) - len(whole)
+        if whole:
+            ensure_raw(spark, raw, schema)
+            load_objects(spark, whole, raw, run_ts, schema, mode, multiline)
+            loaded += len(whole)
+    if waiting:
+        log.warning("%d landed folders are not complete yet", waiting)
+    rows = reconcile_load(landed, spark.table(raw), waiting) if spark.catalog.tableExists(raw) else None
+    if not loaded:
         log.info("no new files in %s", landing)
         return None
-    ensure_raw(spark, raw, schema)
-    for at in range(0, len(todo), BATCH_FILES):
-        paths = [row["landed_object"] for row in todo[at : at + BATCH_FILES]]
-        append_raw(with_audit(read_landed(spark, paths, schema, mode), run_ts), raw)
-    return reconcile_load(list_landed(spark, landing), spark.table(raw))
+    return rows
 
 
-def reconcile_load(landed: DataFrame, raw: DataFrame) -> int:
-    """Rows in the raw table; raises if the file counts differ."""
+def reconcile_load(landed: DataFrame, raw: DataFrame, waiting: int = 0) -> int:
+    """Rows in the raw table; raises if it has other than all landed files but those ``waiting``."""
     found = reconcile_files(landed, raw).first()
-    if not found["is_reconciled"]:
-        raise ValueError(f"{found['landed_files']} files landed but {found['loaded_files']} loaded")
+    if found["landed_files"] - waiting != found["loaded_files"]:
+        raise ValueError(f"{found['landed_files'] - waiting} files landed but {found['loaded_files']} loaded")
     return found["loaded_rows"]
-

@@ -16,10 +16,13 @@ CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"'}
 def read_snapshot(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """A snapshot as published, every column a string, names from its header.
 
-    ``multiline`` accepts line breaks inside quoted fields, but such files
-    cannot be split, so each one is read by a single task.
+    A record with more or fewer fields than the header fails the read: its
+    values would sit in other columns, a name perhaps in one that is not
+    hashed. ``multiline`` accepts line breaks inside quoted fields, but such
+    files cannot be split, so each one is read by a single task; without it a
+    broken field leaves records that are too short, which fail.
     """
-    return spark.read.options(**CSV_OPTIONS, multiLine=str(multiline).lower()).csv(path)
+    return spark.read.options(**CSV_OPTIONS, mode="FAILFAST", multiLine=str(multiline).lower()).csv(path)
 
 
 def read_landed(
@@ -41,7 +44,10 @@ def read_landed(
 
 
 def list_landed(spark: SparkSession, folder: str) -> DataFrame:
-    """Landed objects under ``folder``: (source_file, landed_object), contents unread."""
+    """Landed objects under ``folder``: (source_file, landed_object, in_parts), contents unread.
+
+    ``in_parts`` marks a folder of part files.
+    """
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
@@ -50,10 +56,24 @@ def list_landed(spark: SparkSession, folder: str) -> DataFrame:
         .select("path")
     )
     return files.select(
-        landed_name(F.col("path")).alias("source_file"), landed_object(F.col("path")).alias("landed_object")
+        landed_name(F.col("path")).alias("source_file"),
+        landed_object(F.col("path")).alias("landed_object"),
+        (landed_object(F.col("path")) != F.col("path")).alias("in_parts"),
     ).distinct()
 
 
+def repeated_names(landed: DataFrame) -> DataFrame:
+    """File names under which more than one object has landed."""
+    objects = landed.where(F.col("source_file").endswith(".csv")).groupBy("source_file").agg(F.count(F.lit(1)).alias("n"))
+    return objects.where("n > 1").select("source_file")
+
+
+def is_complete(spark: SparkSession, folder: str) -> bool:
+    """Whether a landed folder has the marker that is written after its last part."""
+    marker = spark._jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS")
+    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
+
+
 def loaded_files(raw: DataFrame) -> DataFrame:
     """The load ledger: file names already present in the raw table."""
     return raw.where(F.col("source_file").isNotNull()).select("source_file").distinct()

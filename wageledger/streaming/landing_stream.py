@@ -1,4 +1,4 @@
-"""File-by-file loading with Structured Streaming: the checkpoint is the ledger."""
+"""Loading of objects as they land with Structured Streaming: the checkpoint is the ledger."""
 
 from __future__ import annotations
 
@@ -9,41 +9,66 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from wageledger.functions.paths import decoded
-from wageledger.operators.staging import with_audit
-from wageledger.plans.ingest import append_raw, ensure_raw
+from wageledger.functions.paths import landed_name, landed_object
+from wageledger.plans.ingest import ensure_raw, load_objects
 from wageledger.schemas import landed_schema
-from wageledger.sources.landing import CSV_OPTIONS
+from wageledger.sources.landing import is_complete
 
+# The columns of Spark's binary file source; contents are not read unless asked for.
+_FILES = "path string, modificationTime timestamp, length bigint, content binary"
 
-def landed_stream(spark: SparkSession, landing: str, schema: T.StructType | None = None) -> DataFrame:
-    """Rows of files as they land, bound by position, with ``landed_path``."""
-    return (
-        spark.readStream.schema(schema or landed_schema())
-        .options(**CSV_OPTIONS, enforceSchema="true", mode="FAILFAST")
+
+def arrivals(spark: SparkSession, landing: str) -> DataFrame:
+    """(source_file, landed_object, in_parts) of every file that lands; a folder comes once per part."""
+    files = (
+        spark.readStream.format("binaryFile")
+        .schema(_FILES)
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.csv")
-        .csv(landing)
-        .withColumn("landed_path", decoded(F.col("_metadata.file_path")))
+        .load(landing)
     )
+    whole = landed_object(F.col("path"))
+    return files.select(
+        landed_name(F.col("path")).alias("source_file"), whole.alias("landed_object"), (whole != F.col("path")).alias("in_parts")
+    ).where(F.col("source_file") != "")
+
+
+class Incomplete(RuntimeError):
+    """A landed folder is still being written; the batch is tried again by the next run."""
 
 
 def ingest_stream(
-    spark: SparkSession, landing: str, raw: str, checkpoint: str, schema: T.StructType | None = None
+    spark: SparkSession,
+    landing: str,
+    raw: str,
+    checkpoint: str,
+    schema: T.StructType | None = None,
+    multiline: bool = False,
 ) -> StreamingQuery:
     """Load what has landed since the checkpoint, then stop.
 
-    Everything pending is one batch, so all parts of a landed folder arrive
-    together, and as a batch replaces the partitions of its source files, a
-    batch that is run again after a failure leaves the table the same.
+    The stream carries names only. An object that gained a file is read again
+    as a whole and replaces its partition, so parts that arrive in different
+    batches do not push each other out, and a batch that is run again leaves
+    the table the same. A batch with a folder that lacks its ``_SUCCESS``
+    marker fails after loading its whole objects and is retried by the next run.
     """
+    schema = schema or landed_schema()
     ensure_raw(spark, raw, schema)
 
-    def load(rows: DataFrame, batch: int) -> None:
-        append_raw(with_audit(rows, datetime.now(UTC)), raw)
+    def load(files: DataFrame, batch: int) -> None:
+        objects = files.distinct().collect()  # names of one batch
+        whole = [row for row in objects if not row["in_parts"] or is_complete(spark, row["landed_object"])]
+        names = {row["source_file"] for row in whole}
+        if len(names) < len(whole):
+            raise ValueError("two objects landed under one name")
+        if whole:
+            load_objects(spark, [row["landed_object"] for row in whole], raw, datetime.now(UTC), schema, multiline=multiline)
+        if len(whole) < len(objects):
+            raise Incomplete(f"{len(objects) - len(whole)} landed folders are not complete yet")
 
     return (
-        landed_stream(spark, landing, schema)
+        arrivals(spark, landing)
         .writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
