@@ -1,3 +1,4 @@
+import re
 from dataclasses import fields
 from datetime import UTC, date, datetime, timedelta
 
@@ -9,9 +10,10 @@ from wageledger.operators import rollups
 from wageledger.plans import suite
 from wageledger.plans.ingest import append_raw, ensure_raw
 from wageledger.plans.suite import ChecksFailed, declared, violations
-from wageledger.plans.warehouse import LAYERS, Tables, transform, views
+from wageledger.plans.warehouse import LAYERS, Tables, Views, transform
 from wageledger.schemas import RAW_COLUMNS
 from wageledger.sinks.tables import (
+    among,
     create_databases,
     merge_table,
     recover_swap,
@@ -43,6 +45,12 @@ def names(spark, request):
     tables = Tables()
     tables = Tables(**{f.name: f"{getattr(tables, f.name)}_{request.node.originalname}" for f in fields(tables)})
     yield tables
+    drop_all(spark, tables)
+
+
+def drop_all(spark, tables):
+    for f in fields(Views):
+        spark.sql(f"DROP VIEW IF EXISTS {f.default}")
     for f in fields(tables):
         spark.sql(f"DROP TABLE IF EXISTS {getattr(tables, f.name)}")
 
@@ -52,10 +60,17 @@ def test_full_refresh(spark, names):
     assert transform(spark, DAY_1 + timedelta(hours=1), names) == []
     assert spark.table(names.calendar).count() == 1827
     assert spark.table(names.fact).count() == spark.table(names.wide).count() == 2
-    kpis = {r["agency_name"]: r["total_payroll"] for r in spark.table("v_payroll_kpis").collect()}
+    kpis = {r["agency_name"]: r["total_payroll"] for r in spark.table(Views.v_payroll_kpis).collect()}
     assert kpis == {"BUS": 50.0, "RAIL": 50.0}
-    for view in ("stg_payroll", "v_hr_dynamics", "v_payroll_composition"):
-        assert spark.table(view).count() > 0
+    # another session on the same catalog finds the views, and they equal the operators
+    other, wide = spark.newSession(), spark.table(names.wide)
+    for view, build in (
+        (Views.v_payroll_kpis, rollups.payroll_kpis),
+        (Views.v_hr_dynamics, rollups.hr_dynamics),
+        (Views.v_payroll_composition, rollups.payroll_composition),
+    ):
+        assert dicts(other.table(view)) == dicts(build(wide)) != []
+    assert dicts(other.table(Views.stg_payroll)) == dicts(spark.table(names.staged)) != []
     again = dicts(spark.table(names.wide).drop("dbt_updated_at"))
     transform(spark, DAY_1 + timedelta(hours=2), names)
     assert dicts(spark.table(names.wide).drop("dbt_updated_at")) == again
@@ -93,10 +108,36 @@ def test_incremental_equals_full_refresh(spark, names):
 def test_views_follow_the_tables(spark, names):
     load(spark, names.raw, "payroll_1.csv", DAY_1, record("h1"))
     transform(spark, DAY_1, names)
-    assert set(views(spark, names)) == {"stg_payroll", "v_payroll_kpis", "v_hr_dynamics", "v_payroll_composition"}
     load(spark, names.raw, "payroll_2.csv", DAY_2, record("h2"))
     transform(spark, DAY_2, names)
-    assert spark.table("v_payroll_kpis").first()["headcount"] == 2
+    assert spark.table(Views.v_payroll_kpis).first()["headcount"] == 2
+
+
+def test_file_stamped_before_the_last_run_is_not_missed(spark, names):
+    load(spark, names.raw, "payroll_1.csv", DAY_1, record("h1"))
+    transform(spark, DAY_2, names, full_refresh=False)
+    load(spark, names.raw, "payroll_0.csv", DAY_1 - timedelta(days=1), record("h2"))
+    transform(spark, DAY_2 + timedelta(hours=1), names, full_refresh=False)
+    assert {r["name_hash"] for r in spark.table(names.wide).collect()} == {"h1", "h2"}
+
+
+def test_interrupted_run_is_followed_by_a_full_one(spark, names, monkeypatch):
+    load(spark, names.raw, "payroll_1.csv", DAY_1, record("h1"))
+    transform(spark, DAY_1, names, full_refresh=False)
+    load(spark, names.raw, "payroll_2.csv", DAY_2, record("h2"))
+    with monkeypatch.context() as broken:
+        broken.setattr("wageledger.plans.warehouse.merge_table", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            transform(spark, DAY_2, names, full_refresh=False)
+    transform(spark, DAY_2, names, full_refresh=False)
+    assert {r["name_hash"] for r in spark.table(names.employee).collect()} == {"h1", "h2"}
+
+
+def test_latest_snapshot_only(spark, names):
+    load(spark, names.raw, "payroll_1.csv", DAY_1, record("h1"), record("gone"))
+    load(spark, names.raw, "payroll_2.csv", DAY_2, record("h1"), record("h2"))
+    assert transform(spark, DAY_2, names, latest_only=True) == []
+    assert {r["name_hash"] for r in spark.table(names.wide).collect()} == {"h1", "h2"}
 
 
 def wide(spark, *rows):
@@ -118,9 +159,40 @@ def test_refresh_rewrites_touched_years_only(spark, names):
 
 def test_stale_partitions(spark):
     source = wide(spark, (2025, "A", "J", 1.0, 2.0, 3.0), (2026, "A", "J", 1.0, 2.0, 3.0), (None, "A", "J", 1.0, 2.0, 3.0))
-    kept = rollups.overtime_by_job(source.where("fiscal_year = 2025"))
-    stale = stale_partitions(source, kept, "employee_count")
+    build = rollups.overtime_by_job
+    stale = stale_partitions(build(source), build(source.where("fiscal_year = 2025")))
     assert {r["fiscal_year"] for r in stale.collect()} == {2026, None}
+    assert stale_partitions(build(source), build(source)).count() == 0
+
+
+def test_refresh_after_add_correct_and_remove(spark, names):
+    build = rollups.overtime_by_job
+    refresh_aggregate(wide(spark, *[(y, t, "J", 1.0, 2.0, 3.0) for y in (2024, 2025, None) for t in "AB"]), build, names.overtime)
+    # 2024 is gone, 2025 moved an amount from A to B, 2026 is new, NULL stays
+    rows = [(2025, "A", "J", 0.0, 2.0, 3.0), (2025, "B", "J", 2.0, 2.0, 3.0), (2026, "A", "J", 1.0, 2.0, 3.0)]
+    source = wide(spark, *rows, (None, "A", "J", 1.0, 2.0, 3.0), (None, "B", "J", 1.0, 2.0, 3.0))
+    stale = stale_partitions(build(source), spark.table(names.overtime))
+    assert {r["fiscal_year"] for r in stale.collect()} == {2024, 2025, 2026}
+    refresh_aggregate(source, build, names.overtime, stale)
+    assert dicts(spark.table(names.overtime).select(*build(source).columns)) == dicts(build(source))
+
+
+def test_refresh_prunes_the_source(spark, names):
+    write_table(wide(spark, *[(y, "A", "J", 1.0, 2.0, 3.0) for y in (2024, 2025)]), names.fact, ["fiscal_year"])
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    plan = spark.table(names.fact).where(among("fiscal_year", [2025, None]))._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert re.search(r"PartitionFilters: \[[^]]*fiscal_year", plan)
+
+
+def test_partition_values_of_any_text(spark, names):
+    values = ["", "x:y", "a=b", "o'k", "50%", None, "c/d", "back\\slash"]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, label string")
+    for _ in range(2):
+        write_table(df, names.fact, ["label"])
+        assert {r["id"]: r["label"] for r in spark.table(names.fact).collect()} == {i: v or None for i, v in enumerate(values)}
+    write_table(df.where("id = 1"), names.fact, ["label"])
+    assert [r["label"] for r in spark.table(names.fact).collect()] == ["x:y"]
 
 
 @pytest.mark.parametrize("times", [1, 2])
@@ -197,6 +269,9 @@ def test_violations_name_the_rule(spark):
         ("unique", "a"): 2,
         ("relationships", "a"): 1,
     }
+    two = suite.Rules((), (suite.Between("b", low=0), suite.Between("b", high=100)))
+    assert [r["rows"] for r in violations("t", tables, two).collect()] == [1]
+    assert [r["rows"] for r in violations("t", tables, suite.Rules((), (suite.Unique("a"),))).collect()] == [2]
     fine = {**tables, "t": tables["t"].limit(0)}
     assert violations("t", fine, rules).count() == 0
 
@@ -219,6 +294,8 @@ def test_jobs_run_from_the_command_line(spark, tmp_path):
     main(["all", *extracting, *landing], spark)
     main(["load", *landing], spark)
     main(["transform", "--incremental"], spark)
-    assert spark.table("v_payroll_kpis").first()["headcount"] == 2
-    for f in fields(Tables):
-        spark.sql(f"DROP TABLE {f.default}")
+    assert spark.table(Views.v_payroll_kpis).first()["headcount"] == 2
+    # the feed is a full snapshot each time
+    main(["all", "--latest-snapshot", *extracting, *landing], spark)
+    assert spark.table(Views.v_payroll_kpis).first()["total_payroll"] == 100
+    drop_all(spark, Tables())

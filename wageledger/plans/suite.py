@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -157,28 +158,37 @@ def violations(table: str, tables: Mapping[str, DataFrame], rules: Rules) -> Dat
     parents take one shuffle each.
     """
     df = tables[table]
-    row_rules = {f"not_null:{c}": F.col(c).isNull() for c in rules.not_null}
-    grouped: dict[str, DataFrame] = {}
+    # by place, since several rules may be of one kind and column
+    row_rules = [("not_null", c, F.col(c).isNull()) for c in rules.not_null]
+    grouped: list[tuple[str, str, DataFrame]] = []
     for rule in rules.others:
         match rule:
             case InSet(column, values):
-                row_rules[f"in_set:{column}"] = checks.not_among(column, values)
+                row_rules.append(("in_set", column, checks.not_among(column, values)))
             case Between(column, low, high):
-                row_rules[f"between:{column}"] = checks.out_of_range(column, low, high)
+                row_rules.append(("between", column, checks.out_of_range(column, low, high)))
             case Unique(column):
-                grouped[f"unique:{column}"] = checks.unique(df, column)
+                grouped.append(("unique", column, checks.unique(df, column)))
             case Parent(column, parent, parent_column):
-                grouped[f"relationships:{column}"] = checks.relationships(df, column, tables[parent], parent_column)
-
-    found = checks.count_where(df, row_rules).unpivot([], list(row_rules), "rule", "rows")
-    for name, values in grouped.items():
-        found = found.unionByName(
-            values.agg(F.lit(name).alias("rule"), F.coalesce(F.sum("n_records"), F.lit(0)).alias("rows"))
-        )
-    return found.where(F.col("rows") > 0).select(
+                grouped.append(("relationships", column, checks.relationships(df, column, tables[parent], parent_column)))
+
+    names = [(kind, column) for kind, column, _ in row_rules]
+    parts: list[DataFrame] = []
+    if row_rules:
+        counts = checks.count_where(df, {str(i): met for i, (_, _, met) in enumerate(row_rules)})
+        parts.append(counts.unpivot([], [f"`{i}`" for i in range(len(row_rules))], "place", "rows"))
+    for kind, column, values in grouped:
+        total = F.coalesce(F.sum("n_records"), F.lit(0)).alias("rows")
+        parts.append(values.agg(F.lit(str(len(names))).alias("place"), total))
+        names.append((kind, column))
+    if not parts:
+        raise ValueError(f"no rules for {table}")
+    found = reduce(DataFrame.unionByName, parts).where(F.col("rows") > 0)
+    place = F.col("place").cast("int")
+    return found.select(
         F.lit(table).alias("table"),
-        F.split_part("rule", F.lit(":"), F.lit(1)).alias("rule"),
-        F.split_part("rule", F.lit(":"), F.lit(2)).alias("column_name"),
+        F.get(F.array(*[F.lit(kind) for kind, _ in names]), place).alias("rule"),
+        F.get(F.array(*[F.lit(column) for _, column in names]), place).alias("column_name"),
         "rows",
     )
 

@@ -3,26 +3,29 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
 from wageledger.operators import dimensions, lookups, rollups
 from wageledger.operators.checks import reconcile_totals
-from wageledger.operators.staging import stage_records
-from wageledger.operators.upsert import since_high_water
+from wageledger.operators.staging import latest_snapshot, stage_records
 from wageledger.plans.suite import YEARS, ChecksFailed, declared, enforce
+from wageledger.sinks.scratch import stored
 from wageledger.sinks.tables import (
+    among,
     create_databases,
+    create_view,
     merge_table,
     recover_swap,
     refresh_aggregate,
-    register_views,
+    replace_partitions,
     stale_partitions,
     write_table,
 )
 from wageledger.sources.dates import CALENDAR_END, CALENDAR_START, calendar, date_range
+from wageledger.sources.landing import loaded_files
 
 LAYERS = ("bronze", "silver", "gold", "analytics")
 
@@ -32,6 +35,7 @@ class Tables:
     """Catalog names of the stored tables."""
 
     raw: str = "bronze.raw_payroll"
+    staged: str = "silver.payroll_records"
     agency: str = "gold.dim_agency"
     title: str = "gold.dim_job_title"
     employee: str = "gold.dim_employee"
@@ -41,15 +45,59 @@ class Tables:
     overtime: str = "analytics.mv_overtime_by_job"
 
 
-def views(spark: SparkSession, names: Tables = Tables(), run_ts: datetime | None = None) -> dict[str, DataFrame]:
-    """The views over the tables as they are now."""
-    wide = spark.table(names.wide)
-    return {
-        "stg_payroll": stage_records(spark.table(names.raw), run_ts),
-        "v_payroll_kpis": rollups.payroll_kpis(wide),
-        "v_hr_dynamics": rollups.hr_dynamics(wide),
-        "v_payroll_composition": rollups.payroll_composition(wide),
-    }
+@dataclass(frozen=True)
+class Views:
+    """Catalog names of the stored views."""
+
+    stg_payroll: str = "silver.stg_payroll"
+    v_payroll_kpis: str = "analytics.v_payroll_kpis"
+    v_hr_dynamics: str = "analytics.v_hr_dynamics"
+    v_payroll_composition: str = "analytics.v_payroll_composition"
+
+
+def create_views(spark: SparkSession, tables: Tables = Tables(), views: Views = Views()) -> None:
+    """Store the four views in the catalog; they give what the operators of the same names give."""
+    pay = ", ".join(f"'{kind}', {column}" for column, kind in rollups.PAY_TYPES.items())
+    sums = ", ".join(f"sum({c}) AS {c}" for c in rollups.PAY_TYPES)
+    create_view(spark, views.stg_payroll, f"SELECT * FROM {tables.staged}")
+    create_view(
+        spark,
+        views.v_payroll_kpis,
+        f"""SELECT fiscal_year, agency_name, count(DISTINCT employee_key) AS headcount, sum(total_earnings) AS total_payroll,
+              sum(overtime_pay) AS total_overtime, sum(regular_pay) AS total_regular_pay, count(*) AS total_records
+            FROM {tables.wide} GROUP BY fiscal_year, agency_name""",
+    )
+    create_view(
+        spark,
+        views.v_hr_dynamics,
+        f"""SELECT fiscal_year, agency_name, job_title, event_type, count(DISTINCT employee_key) AS volume_events
+            FROM (SELECT fiscal_year, agency_name, job_title, employee_key,
+                    stack(2, '{rollups.HIRE}', start_date, '{rollups.SEPARATION}', separation_date) AS (event_type, event_date)
+                  FROM {tables.wide})
+            WHERE year(event_date) = fiscal_year GROUP BY fiscal_year, agency_name, job_title, event_type""",
+    )
+    create_view(
+        spark,
+        views.v_payroll_composition,
+        f"""SELECT fiscal_year, agency_name, stack({len(rollups.PAY_TYPES)}, {pay}) AS (pay_type, total_amount)
+            FROM (SELECT fiscal_year, agency_name, {sums} FROM {tables.wide} GROUP BY fiscal_year, agency_name)""",
+    )
+
+
+# Table property: the last run went through, so that the next one may build on what it left.
+_DONE = "wageledger.done"
+
+
+def _is_done(spark: SparkSession, name: str) -> bool:
+    if not spark.catalog.tableExists(name):
+        return False
+    found = spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
+    return any((row["key"], row["value"]) == (_DONE, "true") for row in found)
+
+
+def _set_done(spark: SparkSession, name: str, done: bool) -> None:
+    if spark.catalog.tableExists(name):
+        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{_DONE}' = '{str(done).lower()}')")
 
 
 def transform(
@@ -60,15 +108,22 @@ def transform(
     years: Iterable[int] = YEARS,
     calendar_range: tuple[date, date] = (CALENDAR_START, CALENDAR_END),
     strict: bool = True,
+    latest_only: bool = False,
+    views: Views = Views(),
 ) -> list[str]:
     """Build dimensions, fact, one big table, stored aggregate and views from the raw table.
 
-    A full refresh derives every key from the record itself, which takes no
-    join. Otherwise people who arrived since the last run are merged into the
-    employee dimension, the fact looks its keys up, and the aggregate is
-    rewritten for the years whose records changed. With ``strict`` the
-    first table whose checks fail stops the run; without, the failures are
-    returned.
+    Staged records are written once, partitioned by source file, and read by
+    all that follows; keys are derived from the records, without joins. Without
+    ``full_refresh`` only files that are not staged yet are: whatever the
+    clocks said when they were loaded. Their people are merged into the
+    employee dimension and the fact's years they touch are rewritten; the big
+    table is written whole, as a new golden record shows in every year of its
+    person, and the aggregate where it differs. If the last run did not come
+    to its end the refresh is a full one. ``latest_only`` uses the last file
+    only, for feeds that land a whole snapshot each time, and is always full.
+    With ``strict`` the first table whose checks fail stops the run; without,
+    the failures are returned.
     """
     create_databases(spark, LAYERS)
     rules = declared(years)
@@ -84,21 +139,32 @@ def transform(
 
     raw = spark.table(names.raw)
     check("raw_payroll", raw_payroll=raw)
-    stg = stage_records(raw, run_ts)
+    recover_swap(spark, names.employee)
+    full = full_refresh or latest_only or not _is_done(spark, names.staged) or not spark.catalog.tableExists(names.employee)
+    _set_done(spark, names.staged, False)
+    people = ("agency_name", "job_title")
+    touched: list[int | None] = []
+    if full:
+        records = stage_records(raw, run_ts)
+        write_table(latest_snapshot(records) if latest_only else records, names.staged, ("source_file",))
+        _set_done(spark, names.staged, False)
+    else:
+        fresh = loaded_files(raw).join(loaded_files(spark.table(names.staged)), "source_file", "left_anti")
+        fresh = stored(fresh, "fresh_files")
+        arrived = stored(stage_records(raw.join(fresh, "source_file", "left_semi"), run_ts), "arrived")
+        replace_partitions(arrived, names.staged)
+        touched = [row[0] for row in arrived.select("fiscal_year").distinct().collect()]  # years
+    stg = spark.table(names.staged)
     check("stg_payroll", stg_payroll=stg)
 
-    write_table(dimensions.dim_agency(stg, run_ts), names.agency)
-    write_table(dimensions.dim_job_title(stg, run_ts), names.title)
+    labels = stored(stg.select("agency_name", "job_title").distinct(), "labels")
+    write_table(dimensions.dim_agency(labels, run_ts), names.agency)
+    write_table(dimensions.dim_job_title(labels, run_ts), names.title)
     write_table(calendar(date_range(spark, *calendar_range), run_ts), names.calendar)
-    recover_swap(spark, names.employee)
-    first_build = not spark.catalog.tableExists(names.employee)
-    if full_refresh or first_build:
-        write_table(dimensions.dim_employee(stg, run_ts), names.employee, cluster=("agency_name", "job_title"))
-    else:
-        arrived = since_high_water(stg, spark.table(names.employee).select("dbt_updated_at"))
-        merge_table(
-            dimensions.dim_employee(arrived, run_ts), names.employee, "employee_key", ("agency_name", "job_title")
-        )
+    if full:
+        write_table(dimensions.dim_employee(stg, run_ts), names.employee, cluster=people)
+    elif touched:
+        merge_table(dimensions.dim_employee(arrived, run_ts), names.employee, "employee_key", people)
     dims = {
         "dim_agency": spark.table(names.agency),
         "dim_job_title": spark.table(names.title),
@@ -108,26 +174,27 @@ def transform(
     for table in dims:
         check(table, **dims)
 
-    if full_refresh or first_build:
-        keyed = lookups.derive_keys(stg)
-    else:
-        keyed = lookups.lookup_keys(stg, dims["dim_employee"], dims["dim_agency"], dims["dim_job_title"])
-    write_table(lookups.fact_payroll(keyed, run_ts), names.fact, ("fiscal_year",), ("agency_key", "job_title_key"))
+    keys = ("agency_key", "job_title_key")
+    if full or not spark.catalog.tableExists(names.fact):
+        write_table(lookups.fact_payroll(lookups.derive_keys(stg), run_ts), names.fact, ("fiscal_year",), keys)
+    elif touched:
+        years_of = stg.where(among("fiscal_year", touched))
+        replace_partitions(lookups.fact_payroll(lookups.derive_keys(years_of), run_ts), names.fact, ("fiscal_year", *keys))
     fact = spark.table(names.fact)
     check("fct_payroll", fct_payroll=fact, **dims)
 
-    wide = lookups.denormalize(fact, dims["dim_employee"], dims["dim_agency"], dims["dim_job_title"], run_ts)
+    wide = dimensions.audited(lookups.wide_records(stg, dims["dim_employee"]), run_ts)
     write_table(wide, names.wide, ("fiscal_year",), ("agency_name", "job_title"))
     wide = spark.table(names.wide)
     check("obt_payroll", obt_payroll=wide)
 
     stale = None
-    if not full_refresh and spark.catalog.tableExists(names.overtime):
-        stale = stale_partitions(wide, spark.table(names.overtime), "employee_count")
+    if not full and spark.catalog.tableExists(names.overtime):
+        stale = stale_partitions(rollups.overtime_by_job(wide), spark.table(names.overtime))
     refresh_aggregate(wide, rollups.overtime_by_job, names.overtime, stale)
     check("mv_overtime_by_job", mv_overtime_by_job=spark.table(names.overtime))
-    reports = views(spark, names, run_ts)
-    register_views(reports)
+    create_views(spark, names, views)
+    reports = {f.name: spark.table(getattr(views, f.name)) for f in fields(Views)}
     for table in ("v_payroll_kpis", "v_hr_dynamics", "v_payroll_composition"):
         check(table, **reports)
     if reconcile_totals(wide, reports["v_payroll_kpis"]).first() is not None:
@@ -135,6 +202,5 @@ def transform(
         if strict:
             raise ChecksFailed(message)
         failures.append(message)
+    _set_done(spark, names.staged, True)
     return failures
-
-

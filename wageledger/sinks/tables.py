@@ -1,12 +1,15 @@
-"""Catalog tables in Parquet: full refresh, touched partitions only, merge, and temp views."""
+"""Catalog tables in Parquet: full refresh, touched partitions only, merge, and views."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping, Sequence
+import json
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from contextlib import contextmanager
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wageledger.operators.upsert import merge_upsert
 from wageledger.sinks.scratch import stored
@@ -25,9 +28,9 @@ def write_table(df: DataFrame, name: str, partition: Sequence[str] = (), cluster
     and merge the small ones, where a plain repartition would leave a third of
     the table to one task.
 
-    The table stays readable, in its former version, until the new data is
-    written: partitions are then exchanged in place, and an unpartitioned
-    table swaps names with the new one.
+    The table keeps its former version until the new data is written:
+    partitions are then exchanged in place, and an unpartitioned table swaps
+    names with the new one, during which it is missing for a moment.
     """
     spark = df.sparkSession
     keys = [*partition, *cluster]
@@ -50,17 +53,31 @@ NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 def _exchange_partitions(df: DataFrame, name: str, partition: Sequence[str]) -> None:
     """Overwrite the partitions ``df`` has rows for and drop the others.
 
-    Which ones those are is collected while writing: one value per partition.
+    Which ones those are is collected while writing: one entry per partition,
+    as the catalog holds them. Blank text is stored in the partition of NULL.
     """
     spark = df.sparkSession
-    spec = F.concat_ws("/", *[F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit(NO_VALUE))) for c in partition])
+    spec = F.to_json(F.array(*[F.col(c).cast("string") for c in partition]))
     written = Observation("partitions")
     replace_partitions(df.observe(written, F.collect_set(spec).alias("specs")), name)
-    for row in spark.sql(f"SHOW PARTITIONS {name}").collect():
-        if row["partition"] not in written.get["specs"]:
-            values = [part.split("=", 1) for part in row["partition"].split("/")]
-            dropped = ", ".join(f"`{c}` = " + ("NULL" if v == NO_VALUE else f"'{v}'") for c, v in values)
-            spark.sql(f"ALTER TABLE {name} DROP PARTITION ({dropped})")
+    kept = {tuple(v or None for v in json.loads(s)) for s in written.get["specs"]}
+    drop_partitions(spark, name, partition, [v for v in partition_values(spark, name) if v not in kept])
+
+
+def partition_values(spark: SparkSession, name: str) -> list[tuple[str | None, ...]]:
+    """The values of every partition as text, without the escapes of folder names."""
+    rows = spark.sql(f"SHOW PARTITIONS {name}").collect()
+    texts = [[unquote(part.split("=", 1)[1]) for part in row["partition"].split("/")] for row in rows]
+    return [tuple(None if v == NO_VALUE else v for v in values) for values in texts]
+
+
+def drop_partitions(spark: SparkSession, name: str, partition: Sequence[str], gone: Iterable[tuple[str | None, ...]]) -> None:
+    for values in gone:
+        terms = []
+        for c, v in zip(partition, values, strict=True):
+            text = "NULL" if v is None else "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+            terms.append(f"`{c}` = {text}")
+        spark.sql(f"ALTER TABLE {name} DROP PARTITION ({', '.join(terms)})")
 
 
 @contextmanager
@@ -95,26 +112,47 @@ def refresh_aggregate(
     """Keep the stored aggregate ``build(source)`` up to date.
 
     With ``changed``, rows holding the ``partition`` values that are out of
-    date, only those are read again and rewritten.
+    date, only those are read again and rewritten; the ones without rows in
+    the source are dropped. The values, not rows, pass through the driver, so
+    that they prune the partitions of the source.
     """
     spark = source.sparkSession
     if changed is None or not spark.catalog.tableExists(name):
         write_table(build(source), name, [partition], cluster)
         return
-    touched = changed.select(F.col(partition).alias("_touched")).distinct()
-    stale = source.join(touched, F.col(partition).eqNullSafe(F.col("_touched")), "left_semi")
+    touched = [row[0] for row in changed.select(partition).distinct().collect()]
+    if not touched:
+        return
+    stale = source.where(among(partition, touched))
     replace_partitions(build(stale), name, [partition, *cluster])
+    there = {row[0] for row in stale.select(partition).distinct().collect()}
+    gone = {(None if v is None else str(v),) for v in touched if v not in there}
+    drop_partitions(spark, name, [partition], [v for v in partition_values(spark, name) if v in gone])
 
 
-def stale_partitions(source: DataFrame, aggregate: DataFrame, rows: str, partition: str = "fiscal_year") -> DataFrame:
-    """Partition values whose record count in ``source`` differs from the sum of ``rows`` in the aggregate.
+def among(column: str, values: Sequence) -> Column:
+    """Whether the column has one of the values, of which NULL may be one; prunes partitions."""
+    met = F.col(column).isin([v for v in values if v is not None])
+    return met | F.col(column).isNull() if None in values else met
 
-    Compares the two tables as they are, so it also finds what an interrupted
-    run has left behind. Counting per partition value reads no data columns.
+
+def stale_partitions(fresh: DataFrame, kept: DataFrame, partition: str = "fiscal_year") -> DataFrame:
+    """Partition values whose rows differ between an aggregate as it would be built now and as it was stored.
+
+    Compares every row, amounts to the cent, so it finds corrections that
+    leave counts and totals alike, partitions that vanished, and what an
+    interrupted run has left behind.
     """
-    have = source.groupBy(partition).agg(F.count(F.lit(1)).alias("n"))
-    kept = aggregate.groupBy(partition).agg((-F.sum(rows)).alias("n"))
-    return have.unionByName(kept).groupBy(partition).agg(F.sum("n").alias("n")).where(F.col("n") != 0).select(partition)
+
+    def digests(df: DataFrame, sign: int) -> DataFrame:
+        columns = [
+            F.round(f.name, 2) + F.lit(0.0) if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
+            for f in sorted(df.schema.fields, key=lambda f: f.name)
+        ]
+        return df.groupBy(partition).agg(F.sum(F.lit(sign)).alias("n"), F.bit_xor(F.xxhash64(*columns)).alias("x"))
+
+    both = digests(fresh, 1).unionByName(digests(kept, -1)).groupBy(partition)
+    return both.agg(F.sum("n").alias("n"), F.bit_xor("x").alias("x")).where("n != 0 or x != 0").select(partition)
 
 
 def merge_table(updates: DataFrame, name: str, key: str, cluster: Sequence[str] = ()) -> None:
@@ -138,7 +176,6 @@ def recover_swap(spark: SparkSession, name: str) -> None:
         spark.sql(f"ALTER TABLE {name}__next RENAME TO {name}")
 
 
-def register_views(views: Mapping[str, DataFrame]) -> None:
-    """Register temp views; a view costs nothing until it is queried."""
-    for name, df in views.items():
-        df.createOrReplaceTempView(name)
+def create_view(spark: SparkSession, name: str, query: str) -> None:
+    """Store a view in the catalog: later sessions find it, and it costs nothing until it is queried."""
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {query}")
