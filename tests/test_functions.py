@@ -45,14 +45,18 @@ def test_fill_name(spark):
 
 
 def test_surrogate_key(spark):
-    got = values(spark, ["NYCTA", None, "NYCTA"], lambda c: fn.surrogate_key(c))
-    assert got == [1030347519052426778, None, 1030347519052426778]
+    texts = ["Ferry", "", "Tram", "Ünal", None]
+    want = [t if t is None else int.from_bytes(hashlib.sha256(t.encode()).digest()[:8], "big", signed=True) for t in texts]
+    assert values(spark, texts, lambda c: fn.surrogate_key(c)) == want
+    assert min(want[:4]) < 0 < max(want[:4])
 
 
 def test_surrogate_key_keeps_parts_apart(spark):
     df = spark.createDataFrame([("AB", "C"), ("A", "BC"), ("A", None)], "a string, b string")
     first, second, third = (r["k"] for r in df.select(fn.surrogate_key(F.col("a"), F.col("b")).alias("k")).collect())
     assert first != second and third is None
+    odd = spark.createDataFrame([("A|B", "C"), ("A", "B|C"), ("1:A", "B"), ("1", "A1:B")], "a string, b string")
+    assert odd.select(fn.surrogate_key(F.col("a"), F.col("b"))).distinct().count() == 4
 
 
 @pytest.mark.parametrize("salt", ["one", "two", "ü"])
@@ -68,15 +72,15 @@ def test_salt_matters(spark):
 
 
 def test_fill_names(spark):
-    df = fill_names(spark.createDataFrame([(1, " Jo Doe "), (2, None)], "id int, Name string"))
-    assert {r["id"]: r["Name"] for r in df.collect()} == {1: "Jo Doe", 2: "UNKNOWN_EMPLOYEE"}
+    df = fill_names(spark.createDataFrame([(7, "\tPat, Lee "), (8, None), (9, "x")], "id int, Name string"))
+    assert {r["id"]: r["Name"] for r in df.collect()} == {7: "Pat, Lee", 8: "UNKNOWN_EMPLOYEE", 9: "x"}
 
 
 def test_anonymize_replaces_the_column_in_place(spark):
-    df = spark.createDataFrame([("Ann", 50000)], "Name string, Salary int")
-    out = anonymize(df, "secret")
-    assert out.columns == ["name_hash", "Salary"]
-    assert out.first()["Salary"] == 50000
+    df = spark.createDataFrame([("b7", "Pat Lee", 3)], "badge string, Name string, shifts int")
+    out = anonymize(df, "pepper")
+    assert out.columns == ["badge", "name_hash", "shifts"]
+    assert (out.first()["badge"], out.first()["shifts"]) == ("b7", 3)
 
 
 def test_anonymize_without_the_column_changes_nothing(spark):

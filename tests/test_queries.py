@@ -40,5 +40,16 @@ def test_query_equals_sql(spark, db, name):
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
+def test_plans_of_large_tables_have_no_nested_loops(spark):
+    """As when no table is small enough to be broadcast."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name, query in REPORTS.items():
+            plan = query(spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+            assert "CartesianProduct" not in plan and "NestedLoop" not in plan, name
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_entry(spark):
     assert contract.entry(spark).count() > 0

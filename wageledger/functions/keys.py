@@ -5,22 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-SEPARATOR = "|"
 NO_DATE = "0001-01-01"
 
 
 def _joined(*parts: Column) -> Column:
-    """Parts with a separator between them, so ('AB','C') and ('A','BC') differ; NULL if any part is."""
-    spaced: list[Column] = []
-    for part in parts:
-        spaced += [F.lit(SEPARATOR), part.cast("string")]
-    return F.concat(*spaced[1:])
+    """Parts with their lengths in front, so that no two lists of parts give one text; NULL if any part is."""
+    texts = [part.cast("string") for part in parts]
+    return F.concat(*[F.concat(F.length(text).cast("string"), F.lit(":"), text) for text in texts])
 
 
 def surrogate_key(*parts: Column) -> Column:
-    """First 60 bits of SHA-256 as a non-negative bigint; NULL in, NULL out."""
+    """First 64 bits of SHA-256 as a signed bigint; NULL in, NULL out."""
     text = parts[0].cast("string") if len(parts) == 1 else _joined(*parts)
-    return F.conv(F.substring(F.sha2(text, 256), 1, 15), 16, 10).cast("bigint")
+    return F.conv(F.substring(F.sha2(text, 256), 1, 16), 16, -10).cast("bigint")
 
 
 def employee_key(name: Column, agency: Column, title: Column, start: Column) -> Column:

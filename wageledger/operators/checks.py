@@ -70,6 +70,20 @@ def relationships(child: DataFrame, column: str, parent: DataFrame, parent_colum
     return values.join(parents, "value", "left_anti")
 
 
+def relation_summary(name: str, child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
+    """One row: (relation, child_values, child_rows, orphan_values, orphan_rows), so that none missing is a result too."""
+    values = _counted(child, column).where(F.col("n_records") > 0)
+    parents = parent.select(F.col(parent_column).alias("value"), F.lit(True).alias("known")).distinct()
+    orphan = F.col("known").isNull()
+    return values.join(parents, "value", "left").agg(
+        F.lit(name).alias("relation"),
+        F.count(F.lit(1)).alias("child_values"),
+        F.coalesce(F.sum("n_records"), F.lit(0)).alias("child_rows"),
+        F.count(F.when(orphan, 1)).alias("orphan_values"),
+        F.coalesce(F.sum(F.when(orphan, F.col("n_records"))), F.lit(0)).alias("orphan_rows"),
+    )
+
+
 def _counted(df: DataFrame, column: str) -> DataFrame:
     """Rows per value; NULLs count as none, which drops them without evaluating the column twice."""
     return df.groupBy(F.col(column).alias("value")).agg(F.count(column).alias("n_records"))
@@ -81,6 +95,11 @@ def _totals(df: DataFrame, columns: dict[str, str]) -> DataFrame:
 
 def reconcile_totals(wide: DataFrame, kpis: DataFrame | None = None, tolerance: float = 0.01) -> DataFrame:
     """One row if payroll, overtime or regular pay differ between records and KPIs by more than ``tolerance``."""
+    return compare_totals(wide, kpis, tolerance).where(~F.col("is_reconciled")).drop("is_reconciled")
+
+
+def compare_totals(wide: DataFrame, kpis: DataFrame | None = None, tolerance: float = 0.01) -> DataFrame:
+    """One row: the three totals of records and of KPIs, and whether they agree."""
     pairs = {
         "total_payroll": "total_earnings",
         "total_overtime": "overtime_pay",
@@ -94,7 +113,7 @@ def reconcile_totals(wide: DataFrame, kpis: DataFrame | None = None, tolerance:
     differs = F.lit(False)
     for name in pairs:
         differs = differs | (F.abs(F.col(f"src_{name}") - F.col(f"view_{name}")) > tolerance)
-    return side_by_side.where(differs)
+    return side_by_side.withColumn("is_reconciled", ~F.coalesce(differs, F.lit(False)))
 
 
 def reconcile_files(landed: DataFrame, raw: DataFrame) -> DataFrame:

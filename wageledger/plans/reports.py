@@ -15,9 +15,11 @@ from pyspark.sql import types as T
 
 from wageledger.functions import salted_hash
 from wageledger.operators import checks, dimensions, lookups, names, rollups, staging, upsert
-from wageledger.sinks.scratch import stored
+from wageledger.plans.ingest import extract
+from wageledger.sinks.landing import land_snapshot
+from wageledger.sinks.scratch import new_path
 from wageledger.sources.dates import calendar, date_range_of
-from wageledger.sources.landing import new_files
+from wageledger.sources.landing import new_files, read_landed
 from wageledger.sources.order_ledger import SALT, order_raw, order_snapshot, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,8 +72,8 @@ def _kpis(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _label_dims(stg: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The two label dimensions, stored before they are joined, as in a warehouse build."""
-    pairs = stored(stg.select("agency_name", "job_title").distinct(), "labels")
+    """The two label dimensions, from one distinct as in a warehouse build."""
+    pairs = stg.select("agency_name", "job_title").distinct()
     return dimensions.dim_agency(pairs), dimensions.dim_job_title(pairs)
 
 
@@ -207,8 +209,8 @@ def headcount_payroll_corr(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _employees_as_of(stg: DataFrame) -> DataFrame:
-    """The employee dimension as the last run before ``AS_OF`` left it: a stored table."""
-    return stored(dimensions.dim_employee(_before(stg), datetime(2025, 1, 2, 12, tzinfo=UTC)), "employees")
+    """The employee dimension as the last run before ``AS_OF`` left it."""
+    return dimensions.dim_employee(_before(stg), datetime(2025, 1, 2, 12, tzinfo=UTC))
 
 
 def incremental_since(spark: SparkSession, folder: str) -> DataFrame:
@@ -233,9 +235,15 @@ def dq_unique(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def dq_unique_documents(spark: SparkSession, folder: str) -> DataFrame:
-    return checks.unique(table(spark, folder, "documents"), "text").select(
-        F.sha2("value", 256).alias("text_sha256"), "n_records"
-    )
+    # hashes are shuffled, not texts
+    hashed = table(spark, folder, "documents").select(F.sha2("text", 256).alias("text_sha256"))
+    return checks.unique(hashed, "text_sha256").withColumnRenamed("value", "text_sha256")
+
+
+def dq_document_ids(spark: SparkSession, folder: str) -> DataFrame:
+    known = table(spark, folder, "documents").where(F.col("doc_id").isNotNull())
+    times = known.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    return times.agg(F.count(F.lit(1)).alias("ids"), F.count(F.when(F.col("n") > 1, 1)).alias("repeated_ids"))
 
 
 def dq_in_set(spark: SparkSession, folder: str) -> DataFrame:
@@ -255,20 +263,36 @@ def dq_range(spark: SparkSession, folder: str) -> DataFrame:
     return plain(checks.between(_kpis(spark, folder), "total_records", low=100))
 
 
+def dq_declared_ranges(spark: SparkSession, folder: str) -> DataFrame:
+    lows = {"headcount": 1, "total_payroll": 0, "total_overtime": 0, "total_regular_pay": 0}
+    counts = checks.count_where(_kpis(spark, folder), {c: checks.out_of_range(c, low=low) for c, low in lows.items()})
+    return counts.unpivot([], list(lows), "column_name", "out_of_range")
+
+
 def dq_relationships(spark: SparkSession, folder: str) -> DataFrame:
     stg = _stg(spark, folder)
     fact = lookups.fact_payroll(lookups.derive_keys(stg))
-    return checks.relationships(fact, "employee_key", dimensions.dim_employee(_before(stg)), "employee_key")
+    agencies, titles = _label_dims(stg)
+    parents = {"employee_key": dimensions.dim_employee(stg), "agency_key": agencies, "job_title_key": titles}
+    rows = [checks.relation_summary(f"fct_payroll.{key}", fact, key, dim, key) for key, dim in parents.items()]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
+def dq_late_employees(spark: SparkSession, folder: str) -> DataFrame:
+    """Fact rows of people who are not in the dimension as it was before the last loads."""
+    stg = _stg(spark, folder)
+    fact = lookups.fact_payroll(lookups.derive_keys(stg))
+    return checks.relationships(fact, "employee_key", _employees_as_of(stg), "employee_key")
 
 
 def dq_orphan_lineitems(spark: SparkSession, folder: str) -> DataFrame:
-    finished = table(spark, folder, "orders").where(F.col("o_orderstatus") == "F")
-    return checks.relationships(table(spark, folder, "lineitem"), "l_orderkey", finished, "o_orderkey")
+    lines, orders = table(spark, folder, "lineitem"), table(spark, folder, "orders")
+    return checks.relation_summary("lineitem.l_orderkey", lines, "l_orderkey", orders, "o_orderkey")
 
 
 def dq_orphan_labels(spark: SparkSession, folder: str) -> DataFrame:
-    english = table(spark, folder, "documents").where(F.col("lang") == "en")
-    return checks.relationships(table(spark, folder, "labels"), "doc_id", english, "doc_id")
+    labels, docs = table(spark, folder, "labels"), table(spark, folder, "documents")
+    return checks.relation_summary("labels.doc_id", labels, "doc_id", docs, "doc_id")
 
 
 def reconcile_totals(spark: SparkSession, folder: str) -> DataFrame:
@@ -276,6 +300,25 @@ def reconcile_totals(spark: SparkSession, folder: str) -> DataFrame:
     return plain(checks.reconcile_totals(keyed, rollups.payroll_kpis(_before(keyed))))
 
 
+def totals_agree(spark: SparkSession, folder: str) -> DataFrame:
+    return plain(checks.compare_totals(_keyed(spark, folder)))
+
+
+def landed_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """Snapshot to landed files and back: published, read strictly, anonymized, landed, loaded by position.
+
+    Departments are put behind a line break, so that quoted fields span lines.
+    """
+    wide = order_snapshot(spark, folder).drop("record_id")
+    wide = wide.withColumn("Working_Agency", F.concat("Working_Agency", F.lit("\n"), "Department"))
+    published = land_snapshot(wide, new_path(spark, "published"), RUN_TS)
+    landed = new_path(spark, "landed")
+    path = extract(spark, published, landed, SALT, RUN_TS, multiline=True)
+    rows = read_landed(spark, path, multiline=True)
+    rows = staging.with_audit(rows, RUN_TS).withColumnRenamed("Working_Agency", "agency")
+    return rows.groupBy("name_hash", "agency").agg(F.count(F.lit(1)).alias("n_records"))
+
+
 def reconcile_files(spark: SparkSession, folder: str) -> DataFrame:
     return checks.reconcile_files(_landed(spark, folder), _before(order_raw(spark, folder)))
 
@@ -322,4 +365,9 @@ REPORTS: dict[str, Query] = {
     "dq_orphan_labels": dq_orphan_labels,
     "reconcile_totals": reconcile_totals,
     "reconcile_files": reconcile_files,
+    "dq_declared_ranges": dq_declared_ranges,
+    "dq_document_ids": dq_document_ids,
+    "dq_late_employees": dq_late_employees,
+    "totals_agree": totals_agree,
+    "landed_round_trip": landed_round_trip,
 }
