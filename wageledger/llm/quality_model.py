@@ -36,6 +36,7 @@ CONTENT, SOURCES, LANGS = 2048, 64, 16
 ROUNDS = 3
 CONFIDENT, EXCHANGED = 0.95, 200  # per class, round and view
 THRESHOLD = 0.5
+HELD = 512  # rows widened at once
 
 
 def content(text: str) -> np.ndarray:
@@ -83,18 +84,28 @@ class Linear:
     def logit(self, x: np.ndarray) -> np.ndarray:
         return x @ self.weights + self.bias
 
+    def logits(self, rows: np.ndarray) -> np.ndarray:
+        """Of many rows, which may be halves: in blocks, so that few are widened at once."""
+        found = [self.logit(rows[i : i + HELD].astype(np.float32, copy=False)) for i in range(0, len(rows), HELD)]
+        return np.concatenate(found) if found else np.empty(0, np.float32)
+
     @classmethod
-    def fit(cls, x: np.ndarray, y: np.ndarray, l2: float = 1e-4, steps: int = 150, rate: float = 0.1, balanced: bool = True) -> Linear:
-        """Full-batch Adam; ``balanced`` gives both classes equal weight, else scores are calibrated to the rows."""
-        x, y = x.astype(np.float32), y.astype(np.float32)
+    def fit(cls, parts: list[np.ndarray], y: np.ndarray, l2: float = 1e-4, steps: int = 150, rate: float = 0.1, balanced: bool = True) -> Linear:
+        """Full-batch Adam over the rows of all ``parts``, none of which is copied.
+
+        ``balanced`` gives both classes equal weight, else scores are calibrated to the rows.
+        """
+        parts, y = [x.astype(np.float32, copy=False) for x in parts], y.astype(np.float32)
+        ends = np.cumsum([len(x) for x in parts])[:-1]
         share = np.where(y > 0.5, 0.5 / max(1, (y > 0.5).sum()), 0.5 / max(1, (y <= 0.5).sum())).astype(np.float32)
         if not balanced:
             share = np.full(len(y), 1 / len(y), np.float32)
-        w = np.zeros(x.shape[1] + 1, np.float32)
+        w = np.zeros(parts[0].shape[1] + 1, np.float32)
         m, v = np.zeros_like(w), np.zeros_like(w)
         for t in range(1, steps + 1):
-            error = share * (_sigmoid(x @ w[:-1] + w[-1]) - y)
-            grad = np.append(x.T @ error + l2 * w[:-1], error.sum())
+            error = share * (_sigmoid(np.concatenate([x @ w[:-1] for x in parts]) + w[-1]) - y)
+            steepest = sum(x.T @ e for x, e in zip(parts, np.split(error, ends), strict=True))
+            grad = np.append(steepest + l2 * w[:-1], error.sum())
             m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
             w = w - rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
         return cls(w[:-1].astype(np.float32), float(w[-1]))
@@ -114,21 +125,26 @@ class Model:
         return float(_sigmoid(self.combined.logit(np.clip(np.asarray(views), -20, 20) / 4)))
 
 
-def co_train(a: np.ndarray, b: np.ndarray, y: np.ndarray, free_a: np.ndarray, free_b: np.ndarray) -> Model | None:
-    """``a``, ``b``: the views of labelled rows with labels ``y``; ``free``: of rows without. None without two classes."""
-    if len(set(y.tolist())) < 2:
-        return None
-    # every fourth row of each class is kept apart for calibration
-    order = np.concatenate([np.flatnonzero(y == c) for c in (0, 1)])
+def set_apart(y: np.ndarray) -> np.ndarray:
+    """Marks every fourth row of each class, for calibration; none if that leaves a class out."""
     apart = np.zeros(len(y), bool)
     for c in (0, 1):
-        rows = np.flatnonzero(y == c)
-        apart[rows[3::4]] = True
-    if len(set(y[apart].tolist())) < 2:  # too few labels to keep any apart
-        apart[:] = False
-    test = apart if apart.any() else np.ones(len(y), bool)
-    fit = np.intersect1d(order, np.flatnonzero(~apart))
-    sets = [(a[fit], y[fit]), (b[fit], y[fit])]
+        apart[np.flatnonzero(y == c)[3::4]] = True
+    return apart if len(set(y[apart].tolist())) == 2 else np.zeros(len(y), bool)
+
+
+def co_train(a: np.ndarray, b: np.ndarray, y: np.ndarray, free_a: np.ndarray, free_b: np.ndarray, apart: int) -> Model | None:
+    """None without two classes.
+
+    ``a``, ``b``: the views of labelled rows with labels ``y``, of which the
+    first ``apart`` calibrate and the rest are fitted (all do both if it is 0);
+    ``free``: the views of rows without labels.
+    """
+    if len(set(y.tolist())) < 2:
+        return None
+    test, fit = slice(0, apart or None), slice(apart, None)
+    views = [a, b]
+    sets = [([a[fit]], y[fit]), ([b[fit]], y[fit])]
     free = [free_a, free_b]
     left = np.ones(len(free_a), bool)
     models = [Linear.fit(*s) for s in sets]
@@ -136,10 +152,10 @@ def co_train(a: np.ndarray, b: np.ndarray, y: np.ndarray, free_a: np.ndarray, fr
         if not left.any():
             break
         given: list[tuple[np.ndarray, np.ndarray]] = []
-        for model, view, other in zip(models, free, (1, 0), strict=True):
+        for model, view, rows in zip(models, views, free, strict=True):
             # confidence is judged on the calibrated scale of the view
-            scale = Linear.fit(model.logit((a, b)[1 - other][test])[:, None] / 4, y[test], balanced=False)
-            p = _sigmoid(scale.logit(model.logit(view)[:, None] / 4))
+            scale = Linear.fit([model.logit(view[test])[:, None] / 4], y[test], balanced=False)
+            p = _sigmoid(scale.logit(model.logits(rows)[:, None] / 4))
             p[~left] = 0.5
             good, bad = np.argsort(-p)[:EXCHANGED], np.argsort(p)[:EXCHANGED]
             good, bad = good[p[good] >= CONFIDENT], bad[p[bad] <= 1 - CONFIDENT]
@@ -148,15 +164,15 @@ def co_train(a: np.ndarray, b: np.ndarray, y: np.ndarray, free_a: np.ndarray, fr
             break
         for k, (rows, labels) in enumerate(given):
             x, z = sets[1 - k]
-            sets[1 - k] = (np.concatenate([x, free[1 - k][rows]]), np.concatenate([z, labels]))
+            sets[1 - k] = ([*x, free[1 - k][rows].astype(np.float32)], np.concatenate([z, labels]))
             left[rows] = False
         models = [Linear.fit(*s) for s in sets]
-    views = np.stack([models[0].logit(a[test]), models[1].logit(b[test])], axis=1)
-    return Model(*models, Linear.fit(np.clip(views, -20, 20) / 4, y[test], steps=300, balanced=False))
+    both = np.stack([model.logit(view[test]) for model, view in zip(models, views, strict=True)], axis=1)
+    return Model(*models, Linear.fit([np.clip(both, -20, 20) / 4], y[test], steps=300, balanced=False))
 
 
-def _features(docs: DataFrame, names: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Both views and the labels of a bounded sample; ``names``: text, source, lang."""
+def _features(docs: DataFrame, names: list[str]) -> list[tuple[float, bytes, bytes]]:
+    """The label and both views of a bounded sample, in order; ``names``: text, source, lang."""
     schema = "label double, a binary, b binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,10 +188,14 @@ def _features(docs: DataFrame, names: list[str]) -> tuple[np.ndarray, np.ndarray
             )
 
     rows = docs.select("label", *names).mapInArrow(run, schema).collect()
-    rows.sort(key=lambda r: (r["label"], r["a"], r["b"]))
-    a = np.array([np.frombuffer(r["a"], np.float16) for r in rows], np.float32).reshape(-1, CONTENT)
-    b = np.array([np.frombuffer(r["b"], np.float32) for r in rows], np.float32).reshape(-1, SOURCES + LANGS + 8)
-    return a, b, np.array([r["label"] for r in rows])
+    return sorted((r["label"], bytes(r["a"]), bytes(r["b"])) for r in rows)
+
+
+def _matrix(rows: list[tuple], column: int, stored: type, held: type, width: int) -> np.ndarray:
+    table = np.empty((len(rows), width), held)
+    for i, row in enumerate(rows):
+        table[i] = np.frombuffer(row[column], stored)
+    return table
 
 
 def train(
@@ -191,9 +211,16 @@ def train(
     picked = F.broadcast(first.union(rest.select("id", F.lit(-1.0).alias("label"))))  # at most the two bounds
     rows = docs.select(F.col(key).alias("id"), F.col(text).alias("t"), F.col(source).cast("string").alias("s"), F.col(lang).cast("string").alias("l"))
     sample = rows.join(picked, "id").dropDuplicates(["id"])
-    a, b, y = _features(sample, ["t", "s", "l"])
-    known = y >= 0
-    return co_train(a[known], b[known], y[known], a[~known], b[~known])
+    found = _features(sample, ["t", "s", "l"])
+    free, known = [r for r in found if r[0] < 0], [r for r in found if r[0] >= 0]
+    apart = set_apart(np.array([r[0] for r in known]))
+    known = [r for flag in (True, False) for r, here in zip(known, apart, strict=True) if here == flag]
+    y = np.array([r[0] for r in known])
+    a = _matrix(known, 1, np.float16, np.float32, CONTENT)
+    free_a = _matrix(free, 1, np.float16, np.float16, CONTENT)
+    b, free_b = (_matrix(rows, 2, np.float32, np.float32, SOURCES + LANGS + 8) for rows in (known, free))
+    del found, free, known  # the driver holds the sample once
+    return co_train(a, b, y, free_a, free_b, int(apart.sum()))
 
 
 def score(docs: DataFrame, model: Model | None, text: str = "text", source: str = "source", lang: str = "lang", name: str = "score") -> DataFrame:
