@@ -43,7 +43,7 @@ HELD = 64
 def trigrams(text: str) -> np.ndarray:
     """Buckets of the trigrams of letters, with blanks around words; empty if there are none."""
     letters = NOT_LETTERS.sub(" ", text.lower()).strip()
-    if not letters:
+    if not any(map(str.isalpha, letters)):  # numerals such as fractions are no letters
         return np.empty(0, np.uint32)
     codes = np.frombuffer(f" {letters} ".encode("utf-32-le", "surrogatepass"), np.uint32)
     mixed = codes[:-2] * np.uint32(0x9E3779B1) + codes[1:-1] * np.uint32(0x85EBCA6B) + codes[2:] * np.uint32(0xC2B2AE35)
