@@ -91,6 +91,92 @@ SELECT vec_id, (SELECT count(*) FROM l WHERE l.a = c.vec_id) AS n_links, compone
 """
 
 
+EXACT_GROUPS = r"""
+WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
+SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+    row_number() OVER (PARTITION BY t ORDER BY doc_id NULLS LAST) = 1 AS kept, sha256(t) AS text_sha256
+FROM d WINDOW w AS (PARTITION BY t)
+"""
+
+
+def _field(column: str) -> str:
+    return f"coalesce(strlen({column}::VARCHAR) || ':' || {column}::VARCHAR, '-')"
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of an ASCII text, a byte at a time."""
+    table = []
+    for byte in range(256):
+        for _ in range(8):
+            byte = byte >> 1 ^ (0xEDB88320 if byte & 1 else 0)
+        table.append(byte)
+    codes = f"[ascii(c)::BIGINT for c in string_split({text}, '')]"
+    step = f"lambda c, b: xor(c >> 8, ({table}::BIGINT[])[(xor(c, b) & 255) + 1])"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), {step}), 4294967295)"
+
+
+def merkle_manifest(levels: int = 6) -> str:
+    """Up to 16 ** ``levels`` leaves in a source, and as many sources."""
+    leaf = " || ".join(_field(c) for c in ("doc_id", "source", "lang", "n_chars", "text"))
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    tampered = leaf.replace(_field("text"), _field(lower))
+    ctes = [
+        f"d AS (SELECT doc_id, source, sha256({leaf}) AS h, CASE WHEN {_crc32('doc_id::VARCHAR')} % 5 = 0 THEN sha256({tampered}) END AS x FROM documents)",
+        "a0 AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, h) - 1 AS pos, count(*) OVER (PARTITION BY source) AS n FROM d)",
+    ]
+
+    def tree(name: str, group: str) -> None:
+        for k in range(levels):
+            ctes.append(
+                f"{name}{k + 1} AS (SELECT {group}, pos // 16 AS pos, CASE WHEN any_value(n) = 1 THEN any_value(h) ELSE sha256(string_agg(h, '' ORDER BY pos)) END AS h,"
+                f" any_value((n + 15) // 16) AS n, list(h ORDER BY pos) AS run FROM {name}{k} GROUP BY {group}, pos // 16)"
+            )
+
+    tree("a", "source")
+    ctes.append(f"b0 AS (SELECT 0 AS tree, source, h, row_number() OVER (ORDER BY encode(source) NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM a{levels})")
+    tree("b", "tree")
+    # all flanks of a node on the way up: a lone node has none
+    for name, group in (("a", "source"), ("b", "tree")):
+        joins = " ".join(f"JOIN {name}{k + 1} AS r{k} ON r{k}.{group} IS NOT DISTINCT FROM z.{group} AND r{k}.pos = z.pos // {16 ** (k + 1)}" for k in range(levels))
+        at = [f"(z.pos // {16**k} % 16)" for k in range(levels)]
+        flanks = ", ".join(f"[array_to_string(r{k}.run[:{at[k]}], ''), array_to_string(r{k}.run[{at[k]} + 2:], ''), (len(r{k}.run) > 1 OR z.n > {16**k})::VARCHAR]" for k in range(levels))
+        ctes.append(f"{name}p AS (SELECT z.*, [{flanks}] AS path FROM {name}0 AS z {joins})")
+    fold = "list_reduce(list_prepend([coalesce(x, ap.h)], path), lambda c, s: CASE WHEN s[3] = 'true' THEN [sha256(s[1] || c[1] || s[2])] ELSE c END)[1]"
+    ctes.append(f"root AS (SELECT h AS root FROM b{levels})")
+    ctes.append(
+        "p AS (SELECT ap.doc_id, ap.h AS h, ap.x, bp.h AS subroot, list_concat(ap.path, bp.path) AS path FROM ap JOIN bp ON ap.source IS NOT DISTINCT FROM bp.source)"
+    )
+    ctes.append(f"f AS (SELECT doc_id, h AS leaf, subroot, sha256(array_to_string([s[1] || s[2] for s in path], '')) AS proof_sha256, {fold.replace('ap.h', 'h')} AS folded_root FROM p)")
+    return f"WITH {', '.join(ctes)} SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM f, root"
+
+
+SOURCE_DIVERGENCE = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+),
+w AS (SELECT r, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS c FROM w GROUP BY ALL HAVING count(DISTINCT r) >= 30),
+l AS (SELECT lang, count(*) AS v, sum(c) AS n FROM kept GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+x AS (SELECT lang, source, term, count(*) AS c FROM w SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+s AS (SELECT lang, source, sum(c) AS n FROM x GROUP BY ALL),
+full_ AS (
+    SELECT g.lang, g.source, kept.term, coalesce(x.c, 0) AS c, 1 + (1000000000::HUGEINT * (coalesce(x.c, 0) + 5)) // (coalesce(s.n, 0) + 5 * l.v) AS p,
+        1 + (1000000000::HUGEINT * (kept.c + 5)) // (l.n + 5 * l.v) AS q
+    FROM g JOIN kept USING (lang) JOIN l USING (lang) LEFT JOIN s USING (lang, source) LEFT JOIN x USING (lang, source, term)
+),
+sums AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM full_ a JOIN full_ b USING (lang, term) GROUP BY ALL),
+parts AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+    FROM g a JOIN g b USING (lang) LEFT JOIN sums ON sums.lang = a.lang AND sums.source = a.source AND sums.item = b.source WHERE a.source <> b.source
+    UNION ALL SELECT lang, source, 'term', term, (p - q)::BIGINT FROM full_ WHERE c > 0 AND p > q
+)
+SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item))::INTEGER AS rank
+FROM parts QUALIFY part = 'pair' OR rank <= 50
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_warc_captures": WARC_CAPTURES,
@@ -98,4 +184,7 @@ def oracle_sql() -> dict[str, str]:
         "op5_removed_lines": REMOVED_LINES,
         "op9_embedding_groups": EMBEDDING_GROUPS,
         "op10_source_mix": SOURCE_MIX,
+        "op11_exact_groups": EXACT_GROUPS,
+        "op12_merkle_manifest": merkle_manifest(),
+        "op13_source_divergence": SOURCE_DIVERGENCE,
     }

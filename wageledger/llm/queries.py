@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wageledger.llm import embedding_groups, languages, line_dedup, mixing, packing, quality_model, quality_rules, secrets, simhash, warc
+from wageledger.llm import divergence, embedding_groups, exact_dedup, languages, line_dedup, manifest, mixing, packing, quality_model, quality_rules, secrets, simhash, warc
 from wageledger.sinks.scratch import new_path, stored
 
 TOKENIZER = "word_bpe_49k.json"
@@ -117,6 +117,37 @@ def op10_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"), WEIGHTS, seed=MIX_SEED)
 
 
+def op11_exact_groups(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_dedup.groups(table(spark, folder, "documents")).drop("carried")
+
+
+# Fixed values of the contract: the columns of a leaf, and the one that tampering changes.
+LEAF = ("doc_id", "source", "lang", "n_chars", "text")
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select(*LEAF)
+    changed = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    tampered = [F.translate("text", UPPER, LOWER) if c == "text" else F.col(c) for c in LEAF]
+    leaves = docs.select("source", "doc_id", manifest.digest(*map(F.col, LEAF)).alias("leaf"), F.when(changed, manifest.digest(*tampered)).alias("tampered"))
+    tree = manifest.build(leaves, "source", "doc_id", "leaf", F.struct("doc_id", "tampered"))
+    rows = tree.proofs().withColumn("folded_root", manifest.fold(F.coalesce("item.tampered", "digest"), "path"))
+    return rows.select(
+        "item.doc_id",
+        F.col("digest").alias("leaf"),
+        "subroot",
+        F.lit(tree.root).alias("root"),
+        F.sha2(manifest.siblings("path"), 256).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.lit(tree.root)).alias("verified"),
+    )
+
+
+def op13_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash_groups": op1_simhash_groups,
     "op2_language_mixtures": op2_language_mixtures,
@@ -128,4 +159,7 @@ QUERIES: dict[str, Query] = {
     "op8_quality_scores": op8_quality_scores,
     "op9_embedding_groups": op9_embedding_groups,
     "op10_source_mix": op10_source_mix,
+    "op11_exact_groups": op11_exact_groups,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_source_divergence": op13_source_divergence,
 }
