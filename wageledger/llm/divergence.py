@@ -91,7 +91,8 @@ def prices(count: np.ndarray, total: int) -> np.ndarray:
     rest = (count.astype(object) if total > (1 << 62) // 1000 else count) + PRIOR
     made = 0
     for _ in range(3):
-        step, rest = divmod(rest * 1000, total)
+        step = rest * 1000 // total
+        rest = rest * 1000 - step * total
         made = made * 1000 + step
     return made + 1
 

@@ -132,15 +132,16 @@ def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     tampered = [F.translate("text", UPPER, LOWER) if c == "text" else F.col(c) for c in LEAF]
     leaves = docs.select("source", "doc_id", manifest.digest(*map(F.col, LEAF)).alias("leaf"), F.when(changed, manifest.digest(*tampered)).alias("tampered"))
     tree = manifest.build(leaves, "source", "doc_id", "leaf", F.struct("doc_id", "tampered"))
+    root = F.lit(tree.root).cast("string")
     rows = tree.proofs().withColumn("folded_root", manifest.fold(F.coalesce("item.tampered", "digest"), "path"))
     return rows.select(
         "item.doc_id",
         F.col("digest").alias("leaf"),
         "subroot",
-        F.lit(tree.root).alias("root"),
+        root.alias("root"),
         F.sha2(manifest.siblings("path"), 256).alias("proof_sha256"),
         "folded_root",
-        (F.col("folded_root") == F.lit(tree.root)).alias("verified"),
+        (F.col("folded_root") == root).alias("verified"),
     )
 
 
