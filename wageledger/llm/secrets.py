@@ -14,7 +14,8 @@ the tests are weak, thus get stricter thresholds than long ones. Each distinct
 run counts once.
 
 Built-in functions only; texts are read once. What reaches the driver is a
-histogram of encodings, length bands and twenty bins.
+histogram of encodings, length bands and twenty bins, and thresholds are joined
+back as a table: the plan does not depend on what is found.
 
 Defined results: a null text is empty; overlapping findings of different fixed
 kinds all stay; a random run that overlaps a fixed finding is left out.
@@ -22,7 +23,7 @@ kinds all stay; a random run that overlaps a fixed finding is left out.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wageledger.sinks.scratch import stored
@@ -34,7 +35,8 @@ KINDS = (
     ("access", r"AKIA[A-Z0-9]{16,}", 0, 20),
     ("hex", r"[0-9a-f]{24,}", 0, 24),
 )
-RUN = r"[A-Za-z0-9+/_=-]{20,}"
+SHORTEST = 20
+RUN = rf"[A-Za-z0-9+/_=-]{{{SHORTEST},}}"
 DIGITS, UPPER, LOWER = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Encodings from the narrowest to the widest, with their alphabets in order of value.
 ENCODINGS = (
@@ -50,24 +52,43 @@ CELLS, BINS = 8, 20
 BANDS = (32, 48, 96)
 
 
-def _spans(text: Column, pattern: str, group: int, least: int) -> Column:
-    """``(start, stop, hit)`` of the matches in code points, those with too short a group left out."""
+def _steps(text: Column, pattern: str, group: int, rank: int) -> Column:
+    """Each match of a pattern: how much text lies before it, its length, and that of its group; of a run also the text."""
     hits, between = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
     sized = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else hits
-    steps = F.zip_with(F.zip_with(hits, between, lambda m, b: F.struct(m.alias("m"), F.length(b).alias("b"))), sized, lambda s, g: F.struct(s["m"].alias("m"), s["b"].alias("b"), F.length(g).alias("g")))
-    steps = F.filter(steps, lambda s: s["m"].isNotNull())  # the text after the last match
-    kind = "array<struct<start:int,stop:int,hit:string,g:int>>"
-    first = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("found"))
-
-    def step(acc: Column, s: Column) -> Column:
-        start = acc["at"] + s["b"]
-        stop = start + F.length(s["m"])
-        one = F.struct(start.alias("start"), stop.alias("stop"), s["m"].alias("hit"), s["g"].alias("g"))
-        return F.struct(stop.alias("at"), F.concat(acc["found"], F.array(one)).alias("found"))
-
-    found = F.filter(F.aggregate(steps, first, step)["found"], lambda x: x["g"] >= least)
+    run = (lambda m: m) if rank == len(KINDS) else (lambda m: F.lit(None).cast("string"))
+    steps = F.zip_with(
+        F.zip_with(hits, between, lambda m, b: F.struct(m.alias("m"), F.length(b).alias("b"))),
+        sized,
+        lambda s, g: F.struct(F.lit(rank).alias("rank"), s["b"].alias("gap"), F.length(s["m"]).alias("size"), F.length(g).alias("g"), run(s["m"]).alias("run")),
+    )
+    steps = F.filter(steps, lambda s: s["size"].isNotNull())  # the text after the last match
     # most texts have no match: one search tells
-    return F.when(text.rlike(pattern), found).otherwise(F.array().cast(kind))
+    return F.when(text.rlike(pattern), steps).otherwise(F.array().cast("array<struct<rank:int,gap:int,size:int,g:int,run:string>>"))
+
+
+def _placed(found: DataFrame) -> DataFrame:
+    """``row, rank, start, stop, run`` in code points, matches with too short a group left out.
+
+    The lengths before a match are summed by a window over the matches of its
+    text, so the work is in proportion to them.
+    """
+    each = found.select("row", F.posexplode("steps").alias("i", "s")).select("row", "i", "s.*")
+    upto = Window.partitionBy("row", "rank").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    stop = F.sum(F.col("gap") + F.col("size")).over(upto).cast("int")
+    least = F.element_at(F.array(*(F.lit(x) for *_, x in KINDS), F.lit(SHORTEST)), F.col("rank") + 1)
+    placed = each.withColumn("stop", stop).where(F.col("g") >= least)
+    return placed.select("row", "rank", (F.col("stop") - F.col("size")).alias("start"), "stop", "run")
+
+
+def _free(spans: DataFrame) -> DataFrame:
+    """The runs that meet no fixed finding."""
+    base = F.col("rank") < len(KINDS)
+    order = Window.partitionBy("row").orderBy("start", "rank").rowsBetween(Window.unboundedPreceding, 0)
+    back = Window.partitionBy("row").orderBy(F.desc("start"), F.desc("rank")).rowsBetween(Window.unboundedPreceding, 0)
+    met = spans.withColumns({"reach": F.max(F.when(base, F.col("stop"))).over(order), "ahead": F.min(F.when(base, F.col("start"))).over(back)})
+    apart = (F.coalesce("reach", F.lit(0)) <= F.col("start")) & F.coalesce(F.col("ahead") >= F.col("stop"), F.lit(True))
+    return met.where(~base & apart).select("row", "start", "stop", "run")
 
 
 def _upper_tail(z: Column) -> Column:
@@ -128,6 +149,7 @@ def tested(runs: DataFrame, run: str = "run") -> DataFrame:
     for b in BANDS:
         band = band + (F.col("n") >= b).cast("int")
     # a core cut short by its padding is too short to test
+    # and whatever is tested is stored at once: a filter on p would be pushed through all of this
     return rows.where("n >= 8").select(*runs.columns, "encoding", band.alias("band"), F.when(F.col("encoding").isNotNull(), p).alias("p"))
 
 
@@ -135,22 +157,25 @@ def _equals(c: int):
     return lambda x: x == c
 
 
-def thresholds(runs: DataFrame, rate: float) -> dict[tuple[str, int], float]:
-    """The least reported p per encoding and band."""
+def thresholds(runs: DataFrame, rate: float) -> DataFrame:
+    """``encoding, band, least``: the lowest reported p of each group that reports any.
+
+    What the tests reject by themselves, p under one bin, is never reported.
+    """
     each = runs.where("encoding is not null").groupBy("encoding", "band", "run").agg(F.min("p").alias("p"))
     bins = F.least(F.lit(BINS - 1), F.floor(F.col("p") * BINS)).cast("int")
     counts: dict[tuple[str, int], list[int]] = {}
     for r in each.groupBy("encoding", "band", bins.alias("bin")).count().collect():  # encodings x bands x bins at most
         counts.setdefault((r["encoding"], r["band"]), [0] * BINS)[r["bin"]] = r["count"]
-    least = {}
-    for group, by_bin in counts.items():
+    least = []
+    for group, by_bin in sorted(counts.items()):
         random = min(sum(by_bin), 2 * sum(by_bin[BINS // 2 :]))
-        for b in range(BINS):
+        for b in range(1, BINS):
             reported = sum(by_bin[b:])
             if reported and max(0.0, reported - random * (1 - b / BINS)) / reported <= rate:
-                least[group] = b / BINS
+                least.append((*group, b / BINS))
                 break
-    return least
+    return runs.sparkSession.createDataFrame(least, "encoding string, band int, least double")
 
 
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", rate: float = 0.05) -> DataFrame:
@@ -159,25 +184,21 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", rate: float =
     A span is ``(start, rank, stop, kind)``.
     """
     body = F.coalesce(F.col(text), F.lit(""))
-    fixed = [(kind, _spans(body, pattern, group, least)) for kind, pattern, group, least in KINDS]
-    marked = [F.transform(spans, _span(rank, kind)) for rank, (kind, spans) in enumerate(fixed)]
-    runs = F.transform(_spans(body, RUN, 0, 20), lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), s["hit"].alias("run")))
-    found = docs.select(F.col(key).alias("key"), F.array_sort(F.concat(*marked)).alias("base"), runs.alias("runs"))
-    found = stored(found.withColumn("row", F.monotonically_increasing_id()), "findings")
-    free = F.filter("runs", lambda r: ~F.exists("base", lambda b: (b["start"] < r["stop"]) & (r["start"] < b["stop"])))
-    tests = tested(found.select("row", F.inline(free)))
-    least = thresholds(tests, rate)
-    keep = F.lit(False)
-    for (encoding, band), p in sorted(least.items()):
-        keep = keep | ((F.col("encoding") == encoding) & (F.col("band") == band) & (F.col("p") >= p))
-    one = F.struct("start", F.lit(len(KINDS)).alias("rank"), "stop", F.lit("random").alias("kind"))
-    random = tests.where(keep).groupBy("row").agg(F.collect_list(one).alias("random"))
-    all_ = F.array_sort(F.concat("base", F.coalesce("random", F.array().cast(found.schema["base"].dataType))))
-    return found.join(random, "row", "left").select(F.col("key").alias(key), "base", all_.alias("spans"))
-
-
-def _span(rank: int, kind: str):
-    return lambda s: F.struct(s["start"].alias("start"), F.lit(rank).alias("rank"), s["stop"].alias("stop"), F.lit(kind).alias("kind"))
+    steps = [_steps(body, pattern, group, rank) for rank, (_, pattern, group, _) in enumerate(KINDS)]
+    steps = F.concat(*steps, _steps(body, RUN, 0, len(KINDS)))
+    found = stored(docs.select(F.col(key).alias("key"), steps.alias("steps"), F.monotonically_increasing_id().alias("row")), "findings")
+    spans = stored(_placed(found), "spans")
+    tests = stored(tested(_free(spans)), "tested")
+    # one row per encoding and band at most
+    random = tests.join(F.broadcast(thresholds(tests, rate)), ["encoding", "band"]).where("p >= least")
+    kinds = F.element_at(F.array(*(F.lit(k) for k, *_ in KINDS), F.lit("random")), F.col("rank") + 1)
+    every = spans.where(F.col("rank") < len(KINDS)).select("row", "rank", "start", "stop")
+    every = every.union(random.select("row", F.lit(len(KINDS)), "start", "stop"))
+    span = F.struct("start", "rank", "stop", kinds.alias("kind"))
+    by_row = every.groupBy("row").agg(F.array_sort(F.collect_list(span)).alias("spans"))
+    none = F.array().cast("array<struct<start:int,rank:int,stop:int,kind:string>>")
+    rows = found.select("key", "row").join(by_row, "row", "left").withColumn("spans", F.coalesce("spans", none))
+    return rows.select(F.col("key").alias(key), F.filter("spans", lambda s: s["rank"] < len(KINDS)).alias("base"), "spans")
 
 
 def listed(spans: str) -> Column:
