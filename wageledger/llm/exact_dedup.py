@@ -37,7 +37,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from wageledger.sinks.scratch import stored
 
 # What a table may hold: distinct contents, in bytes. A bucket of a few contents fits whatever their length.
-TABLE_BYTES = 64 << 20
+TABLE_BYTES = 16 << 20
 FEW = 8
 
 
