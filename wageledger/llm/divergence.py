@@ -13,8 +13,8 @@ has differ by the same amount each, so their number is enough. One merge serves
 both directions.
 
 Terms are counted in the tasks that read the texts, in tables of bounded size,
-so a hot term or a group with a third of all rows leaves a task as one row. All
-arithmetic is exact.
+so a hot term, whatever its sources, leaves a task as one row. All arithmetic is
+exact.
 
 Defined results: null text, language and source are empty; a group without terms
 is still a group, and its prices are those of count zero; a language without
@@ -37,8 +37,8 @@ from wageledger.sinks.scratch import stored
 # Fixed values of the contract: smoothing, and prices of one.
 PRIOR, UNIT = 5, 10**9
 LEAST_DOCUMENTS, TOP = 30, 50
-# Bounds of memory only: terms of an array, and distinct (group, term) of a task at a time.
-SLICE, HELD = 1 << 14, 1 << 18
+# Bounds of memory only: terms of an array, and distinct (source, term) of a task at a time.
+SLICE, HELD = 1 << 14, 1 << 19
 # Bytes that end a term become blanks, A-Z become a-z; every byte above 0x7F stays.
 _CUT = bytes(b + 32 if 0x41 <= b <= 0x5A else b if 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
 
@@ -49,29 +49,49 @@ def terms(text: str) -> list[bytes]:
 
 
 def counted(docs: DataFrame, lang: str, source: str, text: str) -> DataFrame:
-    """``lang, source, term, count, docs``: occurrences, and documents with the term; several rows per term and group."""
-    fields = "lang string, source string, term string, count long, docs long"
+    """``lang, term, docs, sources, counts``: documents with the term, and its occurrences by source; several rows per term.
 
-    def flush(held: dict) -> Iterator[pa.RecordBatch]:
-        for (of, at), (count, seen) in held.items():
-            names = [t.decode("utf-8", "replace") for t in count]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([of] * len(names), pa.string()), pa.array([at] * len(names), pa.string()), pa.array(names, pa.string()),
-                 pa.array(list(count.values()), pa.int64()), pa.array([seen[t] for t in count], pa.int64())],
-                names=["lang", "source", "term", "count", "docs"],
-            )
+    Most terms are rare and go with the first bound, so a task passes on one row
+    for all sources of a term.
+    """
+    fields = "lang string, term string, docs long, sources array<string>, counts array<long>"
+
+    def flush(held: dict[str, tuple[Counter, dict[str, Counter]]]) -> Iterator[pa.RecordBatch]:
+        for of, (seen, by_source) in held.items():
+            if not seen:
+                continue
+            place = {t: i for i, t in enumerate(seen)}
+            sizes = [len(c) for c in by_source.values()]
+            at = np.concatenate([np.fromiter(map(place.__getitem__, c), np.int64, len(c)) for c in by_source.values()])
+            count = np.concatenate([np.fromiter(c.values(), np.int64, len(c)) for c in by_source.values()])
+            order = np.argsort(at, kind="stable")
+            ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(at, minlength=len(seen)))]), pa.int32())
+            names = pa.array(list(by_source), pa.string()).take(pa.array(np.repeat(np.arange(len(sizes)), sizes)[order]))
+            whole = pa.RecordBatch.from_arrays(
+                [
+                    pa.array([of] * len(seen), pa.string()),
+                    pa.array([t.decode("utf-8", "replace") for t in seen], pa.string()),
+                    pa.array(list(seen.values()), pa.int64()),
+                    pa.ListArray.from_arrays(ends, names),
+                    pa.ListArray.from_arrays(ends, pa.array(count[order])),
+                ],
+                names=["lang", "term", "docs", "sources", "counts"],
+            )
+            for i in range(0, whole.num_rows, 1 << 14):
+                yield whole.slice(i, 1 << 14)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
+        held: dict[str, tuple[Counter, dict[str, Counter]]] = {}
         size = 0
         for batch in batches:
             for of, at, value in zip(*(batch.column(c) for c in ("lang", "source", "text")), strict=True):
                 words = terms(value.as_py())
-                count, seen = held.setdefault((of.as_py(), at.as_py()), (Counter(), Counter()))
+                seen, by_source = held.setdefault(of.as_py(), (Counter(), {}))
+                count = by_source.setdefault(at.as_py(), Counter())
                 size -= len(count)
                 count.update(words)
-                seen.update(set(words))
                 size += len(count)
+                seen.update(set(words))
                 if size > HELD:
                     yield from flush(held)
                     held, size = {}, 0
@@ -162,14 +182,16 @@ def _pair_sums(pairs: DataFrame, arrays: DataFrame) -> DataFrame:
 
 def audit(docs: DataFrame, lang: str = "lang", source: str = "source", text: str = "text", least: int = LEAST_DOCUMENTS, top: int = TOP) -> DataFrame:
     """``lang, source, part, item, value, rank``: the other sources by difference, and the terms a source has most above its language."""
-    sums = counted(docs, lang, source, text).groupBy("lang", "source", "term").agg(F.sum("count").alias("count"), F.sum("docs").alias("docs"))
-    sums = stored(sums, "term_counts")
-    kept = sums.groupBy("lang", "term").agg(F.sum("count").alias("lang_count"), F.sum("docs").alias("docs")).where(F.col("docs") >= least)
+    sums = stored(counted(docs, lang, source, text), "term_counts")
+    kept = sums.groupBy("lang", "term").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= least)
     # ids are dense within a partition of the written table, so a slice of ids is full
-    kept = stored(kept.select("lang", "term", "lang_count", F.monotonically_increasing_id().alias("id")), "kept_terms")
-    counts = stored(sums.select("lang", "source", "term", "count").join(kept, ["lang", "term"]), "kept_counts")
+    kept = stored(kept.select("lang", "term", F.monotonically_increasing_id().alias("id")), "kept_terms")
+    by_source = sums.join(kept, ["lang", "term"]).select("lang", "term", "id", F.explode(F.arrays_zip("sources", "counts")).alias("one"))
+    counts = by_source.groupBy("lang", F.col("one.sources").alias("source"), "term", "id").agg(F.sum("one.counts").alias("count"))
+    counts = stored(counts, "kept_counts")
+    totals = counts.groupBy("lang", "id").agg(F.sum("count").alias("lang_count"))
 
-    langs = kept.groupBy("lang").agg(F.count("*").alias("v"), F.sum("lang_count").alias("lang_n"))
+    langs = totals.groupBy("lang").agg(F.count("*").alias("v"), F.sum("lang_count").alias("lang_n"))
     sizes = counts.groupBy("lang", "source").agg(F.sum("count").alias("n"))
     named = docs.select(*(F.coalesce(docs[c].cast("string"), F.lit("")).alias(n) for c, n in ((lang, "lang"), (source, "source")))).distinct()
     v, n = F.coalesce("v", F.lit(0)), F.coalesce("n", F.lit(0))
@@ -188,7 +210,7 @@ def audit(docs: DataFrame, lang: str = "lang", source: str = "source", text: str
     ways = F.explode(F.array(F.struct(F.col("a").alias("source"), F.col("b").alias("item")), F.struct(F.col("b").alias("source"), F.col("a").alias("item"))))
     by_pair = both.select("lang", ways.alias("way"), "value").select("lang", "way.source", F.lit("pair").alias("part"), "way.item", "value")
 
-    over = counts.join(groups, ["lang", "source"]).withColumns({"p": price(F.col("count"), F.col("total")), "q": price(F.col("lang_count"), F.col("lang_total"))})
+    over = counts.join(totals, ["lang", "id"]).join(groups, ["lang", "source"]).withColumns({"p": price(F.col("count"), F.col("total")), "q": price(F.col("lang_count"), F.col("lang_total"))})
     by_term = over.where("p > q").select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), (F.col("p") - F.col("q")).alias("value"))
     rank = F.row_number().over(Window.partitionBy("lang", "source", "part").orderBy(F.desc("value"), "item")).alias("rank")
     best = by_term.select("*", rank).where(F.col("rank") <= top)
