@@ -15,11 +15,11 @@ earliest member instead of all its pairs: as many rows as lines, however hot.
 
 Built-in functions only.
 
-Defined results: a null text has no lines; lines under ``least`` words are
-never touched; blanks between words do not count; equal rows count as one
-occurrence, so copies of a row are cleaned alike; null ids come last in the
-order; other columns stay as they are, but ``n_chars``, if there, follows the
-new text.
+Defined results: a null text has no lines; blank lines are never touched; lines
+under ``least`` words, of which one edit changes much, are only compared for
+equality; blanks between words do not count; equal rows count as one occurrence,
+so copies of a row are cleaned alike; null ids come last in the order; other
+columns stay as they are, but ``n_chars``, if there, follows the new text.
 """
 
 from __future__ import annotations
@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from wageledger.llm.text import BLANKS, free_name
 from wageledger.sinks.scratch import stored
 
+# Words from which on lines one edit apart are near-equal.
 LEAST = 8
 
 
@@ -39,13 +40,13 @@ def _words(line: Column) -> Column:
 
 
 def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """``occ`` (place of the row in the order, and line number), ``words`` and ``n`` of each line."""
+    """``occ`` (place of the row in the order, and line number), ``words`` and ``n`` of each line that is not blank."""
     row = F.xxhash64(*(docs[c] for c in docs.columns))
     # words are split inside the generator, so once per line, however often they are used
     lines = F.transform(F.split(text, "\n"), _words)
     cut = docs.select(F.col(key).isNull().alias("unnamed"), F.col(key).alias("key"), row.alias("row"), F.posexplode(lines).alias("line_no", "words"))
     cut = cut.select(F.struct("unnamed", "key", "row", "line_no").alias("occ"), "words")
-    return cut.withColumn("n", F.size("words"))
+    return cut.where(F.get("words", F.lit(0)) != "").withColumn("n", F.size("words"))
 
 
 def _named(lines: DataFrame) -> DataFrame:
@@ -78,7 +79,7 @@ def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", leas
     """``occ`` and ``kept`` (both with key and line_no), and the number of ``edits``, per removed occurrence."""
     if least < 2:
         raise ValueError("lines of one word are all one edit apart")
-    all_lines = _named(_lines(docs, key, text).where(F.col("n") >= least))
+    all_lines = _named(_lines(docs, key, text))
     halves = [f"k{i}" for i in range(4)]
     all_lines = all_lines.select("h", "g", "n", "occ", *(k.alias(a) for k, a in zip(_halves(), halves, strict=True)))
     all_lines = stored(all_lines, "all_lines")  # hashes and places only
@@ -87,14 +88,14 @@ def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", leas
     )
     known = stored(known, "lines")
 
-    keys = known.select("h", F.explode(F.array(*halves)).alias("k"))
+    keys = known.where(F.col("n") >= least).select("h", F.explode(F.array(*halves)).alias("k"))
     shared = keys.groupBy("k").agg(F.count("*").alias("c")).where("c > 1")
     suspects = keys.join(shared, "k").select("h").distinct()
-    where = known.join(suspects, "h", "left_semi").groupBy("rep.row").agg(F.collect_set("rep").alias("wanted"))
-    row = free_name(docs, "row")
-    here = docs.withColumn(row, F.xxhash64(*(docs[c] for c in docs.columns))).join(where.withColumnRenamed("row", row), row)
-    here = here.dropDuplicates([row, key]).select(
-        F.col(key).alias("key"), F.col(row).alias("row"), F.split(text, "\n").alias("lines"), F.explode("wanted").alias("rep")
+    where = known.where(F.col("n") >= least).join(suspects, "h", "left_semi").groupBy("rep.row").agg(F.collect_set("rep").alias("wanted"))
+    # only these columns, so that no others can clash with them
+    here = docs.select(F.xxhash64(*(docs[c] for c in docs.columns)).alias("row"), docs[key].alias("key"), docs[text].alias("body"))
+    here = here.join(where, "row").dropDuplicates(["row", "key"]).select(
+        "key", "row", F.split("body", "\n").alias("lines"), F.explode("wanted").alias("rep")
     ).where(F.col("key").eqNullSafe(F.col("rep.key")))
     texts = here.select("rep", _words(F.get("lines", F.col("rep.line_no"))).alias("words")).withColumn("n", F.size("words"))
     texts = stored(_named(texts), "suspects")
@@ -140,11 +141,11 @@ def clean(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int =
     """``docs`` without the removed lines."""
     columns = docs.columns
     gone = removed_lines(docs, key, text, least)
-    row, lines = free_name(docs, "row_lines"), free_name(docs, "gone_lines")
+    row, lines, gone_row, gone_key = (free_name(docs, n) for n in ("row_lines", "gone_lines", "gone_row", "gone_key"))
     gone = gone.groupBy("occ.key", "occ.row").agg(F.collect_set("occ.line_no").alias(lines))
-    gone = gone.withColumnsRenamed({"key": "gone_key", "row": "gone_row"})
+    gone = gone.withColumnsRenamed({"key": gone_key, "row": gone_row})
     rows = docs.withColumn(row, F.xxhash64(*(docs[c] for c in columns)))
-    rows = rows.join(gone, (rows[row] == gone["gone_row"]) & rows[key].eqNullSafe(gone["gone_key"]), "left")
+    rows = rows.join(gone, (rows[row] == gone[gone_row]) & rows[key].eqNullSafe(gone[gone_key]), "left")
     stay = F.filter(F.split(text, "\n"), lambda _, i: ~F.array_contains(lines, i))
     rows = rows.withColumn(text, F.when(F.col(lines).isNull(), F.col(text)).otherwise(F.array_join(stay, "\n")))
     if "n_chars" in columns:

@@ -68,8 +68,9 @@ WITH l AS (
     SELECT doc_id, generate_subscripts(a, 1) - 1 AS line_no, unnest(a) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS a FROM documents)
 ),
 w AS (SELECT doc_id, line_no, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS w FROM l),
-o AS (SELECT *, len(w) AS n FROM w WHERE len(w) >= 8),
-d AS (SELECT w, n, min((doc_id, line_no)) AS rep FROM o GROUP BY w, n),
+o AS (SELECT *, len(w) AS n FROM w WHERE len(w) >= 1),
+e AS (SELECT w, n, min((doc_id, line_no)) AS rep FROM o GROUP BY w, n),
+d AS (SELECT * FROM e WHERE n >= 8),
 v AS (SELECT w, n, rep, i, hash(list_concat(w[1:i-1], w[i+1:n])) AS v FROM (SELECT *, unnest(range(1, n + 1)) AS i FROM d)),
 s AS (SELECT v, i, n, min(rep) AS other FROM v GROUP BY ALL HAVING count(*) > 1),
 t AS (
@@ -77,7 +78,7 @@ t AS (
     UNION ALL SELECT v.w, d.rep FROM v JOIN d ON hash(d.w) = v.v AND d.n = v.n - 1
     UNION ALL SELECT d.w, v.rep FROM v JOIN d ON hash(d.w) = v.v AND d.n = v.n - 1
 ),
-f AS (SELECT d.w, rep, least(rep, coalesce(min(other), rep)) AS kept FROM d LEFT JOIN t USING (w) GROUP BY d.w, rep)
+f AS (SELECT e.w, rep, least(rep, coalesce(min(other), rep)) AS kept FROM e LEFT JOIN t USING (w) GROUP BY e.w, rep)
 SELECT doc_id, line_no::INTEGER AS line_no, kept[1] AS kept_doc_id, kept[2]::INTEGER AS kept_line_no, (kept <> rep)::INTEGER AS edits
 FROM o JOIN f USING (w) WHERE (doc_id, line_no) <> kept
 """
