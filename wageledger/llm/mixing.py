@@ -3,17 +3,19 @@
 Each source has a mean repetition rate that brings its share of all characters
 to its target weight. Each document gets a count from the Poisson distribution
 of that mean, found by inverting the distribution at a number hashed from the
-seed and the id: any run gives any document the same count. Documents are then
-exploded by their counts and shuffled globally by a hashed key.
+seed, the id and, where ids repeat or are null, the number of the occurrence:
+any run gives the same counts. Documents are then exploded by their counts and
+shuffled globally by a hashed key.
 
 Built-in functions only. Sizes per source are summed before the shuffle, and
 the rates are literals: one per named source and one for the rest, so no join
 meets a hot source.
 
 Defined results: a null source belongs to the rest; a null text counts no
-characters; a group without characters keeps mean 1; repeated rows, and rows
-with null ids, share their counts and are each replicated; a weight of zero
-drops the source; an empty table stays empty.
+characters; a group without characters keeps mean 1; rows that repeat an id, and
+rows with null ids, are occurrences that draw each for itself, numbered in the
+order of a hash of the row; a weight of zero drops the source; an empty table
+stays empty.
 """
 
 from __future__ import annotations
@@ -21,18 +23,30 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wageledger.llm.text import free_name
+from wageledger.sinks.scratch import stored
 
 REST = "*"
 # A mean above this is drawn as a sum of draws, as their distributions add up.
 MEAN = 32.0
+# Rows of one id that are numbered together.
+BUCKET = 1 << 14
 
 
 def _hashed(seed: int, *parts: Column) -> Column:
-    return F.md5(F.concat_ws(":", F.lit(str(seed)), *(F.coalesce(p.cast("string"), F.lit("null")) for p in parts)))
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), *parts))
+
+
+def _id(key: str) -> Column:
+    return F.coalesce(F.col(key).cast("string"), F.lit("null"))
+
+
+def _if_later(occurrence: Column) -> Column:
+    """The occurrence as a part of the hash; the first has none."""
+    return F.when(occurrence > 0, F.concat(F.lit("#"), occurrence.cast("string")))
 
 
 def uniform(seed: int, *parts: Column) -> Column:
@@ -63,8 +77,38 @@ def rates(docs: DataFrame, weights: Mapping[str, float], total: float | None = N
     return {g: weights.get(g, 0.0) * wanted / sizes[g] if sizes.get(g) else 1.0 for g in {*weights, REST}}
 
 
-def copies(means: Mapping[str, float], seed: int, key: str = "doc_id", source: str = "source") -> Column:
+def occurrences(docs: DataFrame, key: str, name: str) -> DataFrame:
+    """``docs`` with the number of the row, from 0, among those of its id.
+
+    Rows of ids that occur once, nearly all, stay where they are. Of the others,
+    equal rows are counted and exploded again, as it does not matter which is
+    which; different ones are numbered in the order of their hash, in buckets
+    of it, so an id, or null, with a third of all rows is spread over many tasks.
+    """
+    columns = docs.columns
+    many, which, times, row, bucket, before, start = (free_name(docs, n) for n in ("many", "which", "times", "row", "bucket", "before", "start"))
+    ids = docs.groupBy(F.col(key).alias(which)).agg(F.count("*").alias(many)).where(F.col(many) > 1)
+    ids = stored(ids, "repeated_ids")
+    if ids.isEmpty():
+        return docs.withColumn(name, F.lit(0).cast("long"))
+    joined = docs.join(ids, docs[key].eqNullSafe(ids[which]), "left")
+    single = joined.where(F.col(many).isNull()).select(*columns, F.lit(0).cast("long").alias(name))
+    rows = joined.where(F.col(many).isNotNull()).groupBy(*columns, many).agg(F.count("*").alias(times))
+    rows = rows.withColumn(row, F.struct(F.xxhash64(*columns).alias("h"), F.xxhash64(F.lit(1), *columns).alias("g")))
+    rows = stored(rows.withColumn(bucket, F.pmod(F.col(f"{row}.h"), F.ceil(F.col(many) / BUCKET))), "repeated_rows")
+    sizes = rows.groupBy(F.col(key).alias(which), F.col(bucket).alias("b")).agg(F.sum(times).alias("n"))
+    earlier = Window.partitionBy(which).orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = stored(sizes.select(which, "b", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias(before)), "occurrence_buckets")
+    inside = Window.partitionBy(key, bucket).orderBy(row).rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn(start, F.coalesce(F.sum(times).over(inside), F.lit(0)))
+    rows = rows.join(sizes, rows[key].eqNullSafe(sizes[which]) & (rows[bucket] == sizes["b"]))
+    nth = F.explode(F.sequence(F.col(before) + F.col(start), F.col(before) + F.col(start) + F.col(times) - 1))
+    return single.unionByName(rows.select(*columns, nth.alias(name)))
+
+
+def copies(means: Mapping[str, float], seed: int, key: str = "doc_id", source: str = "source", occurrence: Column | None = None) -> Column:
     """The count of a row."""
+    more = () if occurrence is None else (_if_later(occurrence),)
     count = None
     for group in sorted(means, key=lambda g: g == REST):
         mean = means[group]
@@ -72,7 +116,7 @@ def copies(means: Mapping[str, float], seed: int, key: str = "doc_id", source: s
         table = F.array(*(F.lit(x) for x in poisson_table(mean / parts)))
         drawn = F.lit(0)
         for i in range(parts):
-            drawn = drawn + _below(table, uniform(seed, F.col(key), F.lit(i)))
+            drawn = drawn + _below(table, uniform(seed, _id(key), F.lit(str(i)), *more))
         if group == REST:
             return drawn if count is None else count.otherwise(drawn)
         test = F.col(source) == group
@@ -101,9 +145,10 @@ def mix(
     the same name.
     """
     means = rates(docs, weights, total, source, text)
-    number, place = free_name(docs, "copy_no"), free_name(docs, "place")
-    counted = docs.select("*", copies(means, seed, key, source).alias(number)).where(F.col(number) > 0)
+    number, place, nth = (free_name(docs, n) for n in ("copy_no", "place", "occurrence"))
+    counted = occurrences(docs, key, nth)
+    counted = counted.select("*", copies(means, seed, key, source, F.col(nth)).alias(number)).where(F.col(number) > 0)
     rows = counted.withColumn(number, F.explode(F.sequence(F.lit(0), F.col(number) - 1)))
-    rows = rows.withColumn(place, _hashed(seed, F.lit("place"), F.col(key), F.col(number)))
-    rows = rows.repartition(place).sortWithinPartitions(place)
-    return rows if places else rows.select(*docs.columns)
+    hashed = _hashed(seed, F.lit("place"), _id(key), F.col(number).cast("string"), _if_later(F.col(nth)))
+    rows = rows.withColumn(place, hashed).repartition(place).sortWithinPartitions(place)
+    return rows.select(*docs.columns, number, place) if places else rows.select(*docs.columns)
