@@ -1,13 +1,15 @@
 """Token ids of whole texts with a public tokenizer, through a cache of words.
 
-The tokenizer splits a text at white space before anything else, so the ids of
-a text are those of its words in a row. Words repeat; each is encoded once per
-worker. Texts with characters whose handling could depend on their neighbours
-go to the tokenizer whole.
+A tokenizer of the rules in ``RULES`` splits a text at white space before
+anything else, so the ids of a text are those of its words in a row. Words
+repeat; each is encoded once per worker. Texts with characters whose handling
+could depend on their neighbours go to the tokenizer whole, and so do all texts
+if the file has other rules.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 from collections.abc import Callable
@@ -18,6 +20,26 @@ from tokenizers import Tokenizer
 PLAIN = re.compile("[\t\n\r -~À-ÖØ-öø-ÿ]*")
 # What the tokenizer's own split makes of such a text.
 PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\\sa-zß-öø-ÿ0-9]+")
+# How the tokenizer file normalizes and splits, and its kind of model, where the shortcut is right.
+RULES = {
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}],
+    },
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {
+                "type": "Split",
+                "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+                "behavior": "Removed",
+                "invert": True,
+            },
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+    "truncation": None,
+}
 # Entries kept per worker: about 200 bytes each.
 WORDS_HELD, PARTS_HELD = 500_000, 1_200_000
 
@@ -38,6 +60,10 @@ class Encoder:
 
     def __init__(self, config: str) -> None:
         self.tokenizer = Tokenizer.from_str(config)
+        rules = json.loads(config)
+        # marks in a text are found before it is split
+        marks = all(t["content"].startswith("<|") for t in rules.get("added_tokens", []))
+        self.by_word = marks and all(rules.get(k) == v for k, v in RULES.items()) and rules["model"]["type"] == "BPE"
         self.words: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
@@ -51,7 +77,7 @@ class Encoder:
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit numbers."""
-        if "<|" in text or not PLAIN.fullmatch(text):
+        if not self.by_word or "<|" in text or not PLAIN.fullmatch(text):
             return self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
         found, known = text.lower().split(), self.words
         try:
