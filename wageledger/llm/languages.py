@@ -8,7 +8,9 @@ the penalty. The prediction is the language of the largest proportion, its
 score that proportion.
 
 Counting and inference run in Arrow batches, texts one by one and whole. The
-model is languages x buckets; its size does not depend on the corpus.
+model is languages x buckets; its size does not depend on the corpus, and more
+than ``LANGUAGES`` different values, which no clean column has, are refused
+before anything reaches the driver.
 
 Defined results: a text that is null or has no letters is ``und`` with score 0;
 so is every text if no document of known language was given; a null or blank
@@ -28,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wageledger.llm.text import map_text
+from wageledger.sinks.scratch import stored
 
 BUCKETS = 1 << 16
 UNKNOWN = "und"
@@ -38,6 +41,8 @@ PENALTY = 4.0
 STEPS = 25
 # Languages counted at once in a task.
 HELD = 64
+# 100 MB of model.
+LANGUAGES = 200
 
 
 def trigrams(text: str) -> np.ndarray:
@@ -127,7 +132,11 @@ def _fit(seen: np.ndarray, counts: np.ndarray) -> tuple[float, np.ndarray]:
 
 def learn(docs: DataFrame, lang: str = "lang", text: str = "text") -> Model:
     """The model of all rows of ``docs`` with a language."""
-    counts = count_trigrams(docs, lang, text).toPandas()
+    counts = stored(count_trigrams(docs, lang, text), "trigrams")
+    seen = counts.select("lang").distinct().count()
+    if seen > LANGUAGES:
+        raise ValueError(f"{seen} languages to learn, {LANGUAGES} are the bound: is {lang} a language column?")
+    counts = counts.toPandas()  # LANGUAGES x BUCKETS rows at most
     names = tuple(sorted(counts["lang"].unique()))
     table = np.full((BUCKETS, len(names)), SMOOTHING)
     places = {n: i for i, n in enumerate(names)}
