@@ -3,12 +3,15 @@
 Two views of a document are learned apart: its content (hashed trigrams of its
 bytes) and its metadata (source, language, length and the layout of the page:
 lines, capitals, digits, punctuation). In each round both classifiers are
-fitted, and the pseudo-labels that one is confident of go to the training set
-of the other. Both views are then calibrated on labelled documents that were
-kept apart, combined, and applied to all documents.
+fitted and score all documents on the cluster, and the pseudo-labels that one is
+most confident of go to the training set of the other. Both views are then
+calibrated on labelled documents that were kept apart, combined, and applied to
+all documents.
 
-Fitting uses bounded samples, the first by hashed id: ``LABELLED`` documents
-with a label and ``UNLABELLED`` without. Scoring reads every text whole.
+Labels come from a bounded sample, the first ``LABELLED`` labelled documents by
+hashed id; pseudo-labels may come from any other document, at most ``EXCHANGED``
+per class, view and round, so what the driver fits is bounded. Every pass reads
+every text whole.
 
 Defined results: a null text has no content and null metadata is a value of
 its own; contradicting labels of a document count by their majority, a tie as
@@ -19,24 +22,24 @@ kept; repeated rows are scored alike, and used once for fitting.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from wageledger.llm.text import free_name
+from wageledger.sinks.scratch import stored
 
-LABELLED, UNLABELLED = 4000, 4000
+LABELLED = 4000
 CONTENT, SOURCES, LANGS = 2048, 64, 16
 ROUNDS = 3
 CONFIDENT, EXCHANGED = 0.95, 200  # per class, round and view
 THRESHOLD = 0.5
-HELD = 512  # rows widened at once
 
 
 def content(text: str) -> np.ndarray:
@@ -84,11 +87,6 @@ class Linear:
     def logit(self, x: np.ndarray) -> np.ndarray:
         return x @ self.weights + self.bias
 
-    def logits(self, rows: np.ndarray) -> np.ndarray:
-        """Of many rows, which may be halves: in blocks, so that few are widened at once."""
-        found = [self.logit(rows[i : i + HELD].astype(np.float32, copy=False)) for i in range(0, len(rows), HELD)]
-        return np.concatenate(found) if found else np.empty(0, np.float32)
-
     @classmethod
     def fit(cls, parts: list[np.ndarray], y: np.ndarray, l2: float = 1e-4, steps: int = 150, rate: float = 0.1, balanced: bool = True) -> Linear:
         """Full-batch Adam over the rows of all ``parts``, none of which is copied.
@@ -133,94 +131,142 @@ def set_apart(y: np.ndarray) -> np.ndarray:
     return apart if len(set(y[apart].tolist())) == 2 else np.zeros(len(y), bool)
 
 
-def co_train(a: np.ndarray, b: np.ndarray, y: np.ndarray, free_a: np.ndarray, free_b: np.ndarray, apart: int) -> Model | None:
+Exchange = Callable[[list[Linear], list[Linear]], list[tuple[np.ndarray, np.ndarray, np.ndarray]]]
+
+
+def co_train(a: np.ndarray, b: np.ndarray, y: np.ndarray, exchange: Exchange, apart: int) -> Model | None:
     """None without two classes.
 
     ``a``, ``b``: the views of labelled rows with labels ``y``, of which the
-    first ``apart`` calibrate and the rest are fitted (all do both if it is 0);
-    ``free``: the views of rows without labels.
+    first ``apart`` calibrate and the rest are fitted (all do both if it is 0).
+    ``exchange`` takes the classifiers and the scales of their confidence, and
+    gives what each is most confident of: both views of those rows, and labels.
     """
     if len(set(y.tolist())) < 2:
         return None
     test, fit = slice(0, apart or None), slice(apart, None)
     views = [a, b]
     sets = [([a[fit]], y[fit]), ([b[fit]], y[fit])]
-    free = [free_a, free_b]
-    left = np.ones(len(free_a), bool)
     models = [Linear.fit(*s) for s in sets]
     for _ in range(ROUNDS):
-        if not left.any():
-            break
-        given: list[tuple[np.ndarray, np.ndarray]] = []
-        for model, view, rows in zip(models, views, free, strict=True):
-            # confidence is judged on the calibrated scale of the view
-            scale = Linear.fit([model.logit(view[test])[:, None] / 4], y[test], balanced=False)
-            p = _sigmoid(scale.logit(model.logits(rows)[:, None] / 4))
-            p[~left] = 0.5
-            good, bad = np.argsort(-p)[:EXCHANGED], np.argsort(p)[:EXCHANGED]
-            good, bad = good[p[good] >= CONFIDENT], bad[p[bad] <= 1 - CONFIDENT]
-            given.append((np.concatenate([good, bad]), np.concatenate([np.ones(len(good)), np.zeros(len(bad))])))
-        if not any(len(rows) for rows, _ in given):
+        # confidence is judged on the calibrated scale of the view
+        scales = [Linear.fit([model.logit(view[test])[:, None] / 4], y[test], balanced=False) for model, view in zip(models, views, strict=True)]
+        given = exchange(models, scales)
+        if not any(len(labels) for *_, labels in given):
             break
-        for k, (rows, labels) in enumerate(given):
+        for k, (*rows, labels) in enumerate(given):
             x, z = sets[1 - k]
-            sets[1 - k] = ([*x, free[1 - k][rows].astype(np.float32)], np.concatenate([z, labels]))
-            left[rows] = False
+            sets[1 - k] = ([*x, rows[1 - k]], np.concatenate([z, labels]))
         models = [Linear.fit(*s) for s in sets]
     both = np.stack([model.logit(view[test]) for model, view in zip(models, views, strict=True)], axis=1)
     return Model(*models, Linear.fit([np.clip(both, -20, 20) / 4], y[test], steps=300, balanced=False))
 
 
-def _features(docs: DataFrame, names: list[str]) -> list[tuple[float, bytes, bytes]]:
-    """The label and both views of a bounded sample, in order; ``names``: text, source, lang."""
-    schema = "label double, a binary, b binary"
+def _confident(rows: DataFrame, used: set, models: list[Linear], scales: list[Linear]) -> DataFrame:
+    """``id, view, label``: per view and class the ``EXCHANGED`` rows that the view is surest of, but the ``used`` ids.
+
+    ``rows``: ``id, t, s, l``. A task passes on as many of each at most.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast((frozenset(used), models, scales))
+    schema = T.StructType([rows.schema["id"], *T._parse_datatype_string("view int, label double, sure double").fields])
+    arrow = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        used, models, scales = shared.value
+        best: dict[tuple[int, float], list[tuple]] = {(k, label): [] for k in (0, 1) for label in (0.0, 1.0)}
+
+        def trimmed(found: list[tuple]) -> list[tuple]:
+            # of repeated ids one
+            return sorted({name: (-sure, order, name) for sure, order, name in sorted(found)}.values())[:EXCHANGED]
+
+        for batch in batches:
+            for name, text, source, lang in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if name in used:
+                    continue
+                text = text or ""
+                order = zlib.crc32(repr(name).encode())
+                for k, x in enumerate((content(text), metadata(text, source, lang))):
+                    p = float(_sigmoid(scales[k].logit(np.array([models[k].logit(x) / 4]))))
+                    label = 1.0 if p >= 0.5 else 0.0
+                    if max(p, 1 - p) >= CONFIDENT:
+                        best[k, label].append((max(p, 1 - p), order, name))
+            for key, found in best.items():
+                if len(found) > 8 * EXCHANGED:
+                    best[key] = [(-s, o, n) for s, o, n in trimmed(found)]
+        out = [(name, k, label, -sure) for (k, label), found in best.items() for sure, _, name in trimmed(found)]
+        columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), arrow.types, strict=True)] if out else [pa.array([], t) for t in arrow.types]
+        yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+
+    found = rows.mapInArrow(run, schema).groupBy("id", "view", "label").agg(F.max("sure").alias("sure"))
+    rank = F.row_number().over(Window.partitionBy("view", "label").orderBy(F.desc("sure"), F.xxhash64(F.lit(8), "id"), "id"))
+    return found.withColumn("rank", rank).where(F.col("rank") <= EXCHANGED).select("id", "view", "label")
+
+
+def _features(docs: DataFrame) -> list[tuple[object, bytes, bytes]]:
+    """The id and both views of few documents ``id, t, s, l``."""
+    schema = T.StructType([docs.schema["id"], *T._parse_datatype_string("a binary, b binary").fields])
+    arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = list(zip(*(c.to_pylist() for c in batch.columns), strict=True))
+            rows = list(zip(*(c.to_pylist() for c in batch.columns[1:]), strict=True))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([r[0] for r in rows], pa.float64()),
-                    pa.array([content(r[1] or "").astype(np.float16).tobytes() for r in rows], pa.binary()),
-                    pa.array([metadata(r[1] or "", r[2], r[3]).tobytes() for r in rows], pa.binary()),
+                    batch.column(0).cast(arrow.types[0]),
+                    pa.array([content(r[0] or "").astype(np.float16).tobytes() for r in rows], pa.binary()),
+                    pa.array([metadata(r[0] or "", r[1], r[2]).tobytes() for r in rows], pa.binary()),
                 ],
-                names=["label", "a", "b"],
+                schema=arrow,
             )
 
-    rows = docs.select("label", *names).mapInArrow(run, schema).collect()
-    return sorted((r["label"], bytes(r["a"]), bytes(r["b"])) for r in rows)
+    return [(r["id"], bytes(r["a"]), bytes(r["b"])) for r in docs.mapInArrow(run, schema).collect()]
 
 
-def _matrix(rows: list[tuple], column: int, stored: type, held: type, width: int) -> np.ndarray:
-    table = np.empty((len(rows), width), held)
-    for i, row in enumerate(rows):
-        table[i] = np.frombuffer(row[column], stored)
-    return table
+def _views(found: list[tuple[object, bytes, bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    a, b = np.empty((len(found), CONTENT), np.float32), np.empty((len(found), SOURCES + LANGS + 8), np.float32)
+    for i, (_, mine, other) in enumerate(found):
+        a[i], b[i] = np.frombuffer(mine, np.float16), np.frombuffer(other, np.float32)
+    return a, b
 
 
 def train(
     docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "quality", text: str = "text", source: str = "source", lang: str = "lang"
 ) -> Model | None:
-    """Fits on the first ``LABELLED`` and ``UNLABELLED`` documents by hashed id."""
+    """Fits on the first ``LABELLED`` labelled documents by hashed id, and on what both views learn from all others."""
     named = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(key).alias("id"))
     named = named.agg((F.avg(F.col(label)) >= 0.5).cast("double").alias("label"))
     ids = docs.select(F.col(key).alias("id")).where("id is not null").distinct()
-    hashed = F.xxhash64(F.lit(8), "id")
-    first = ids.join(named, "id").orderBy(hashed, "id").limit(LABELLED)
-    rest = ids.join(named, "id", "left_anti").orderBy(hashed, "id").limit(UNLABELLED)
-    picked = F.broadcast(first.union(rest.select("id", F.lit(-1.0).alias("label"))))  # at most the two bounds
+    first = stored(ids.join(named, "id").orderBy(F.xxhash64(F.lit(8), "id"), "id").limit(LABELLED), "labelled")
     rows = docs.select(F.col(key).alias("id"), F.col(text).alias("t"), F.col(source).cast("string").alias("s"), F.col(lang).cast("string").alias("l"))
-    sample = rows.join(picked, "id").dropDuplicates(["id"])
-    found = _features(sample, ["t", "s", "l"])
-    free, known = [r for r in found if r[0] < 0], [r for r in found if r[0] >= 0]
-    apart = set_apart(np.array([r[0] for r in known]))
-    known = [r for flag in (True, False) for r, here in zip(known, apart, strict=True) if here == flag]
-    y = np.array([r[0] for r in known])
-    a = _matrix(known, 1, np.float16, np.float32, CONTENT)
-    free_a = _matrix(free, 1, np.float16, np.float16, CONTENT)
-    b, free_b = (_matrix(rows, 2, np.float32, np.float32, SOURCES + LANGS + 8) for rows in (known, free))
-    del found, free, known  # the driver holds the sample once
-    return co_train(a, b, y, free_a, free_b, int(apart.sum()))
+    rows = rows.where("id is not null")
+
+    def of(few: DataFrame) -> list[tuple[object, bytes, bytes]]:
+        """Features of few ids; of rows that repeat an id one counts."""
+        sample = rows.join(F.broadcast(few.select("id").distinct()), "id")
+        least = F.min(F.struct(F.xxhash64("t", "s", "l").alias("h"), "t", "s", "l")).alias("row")
+        return _features(sample.groupBy("id").agg(least).select("id", "row.t", "row.s", "row.l"))
+
+    y_of = {r["id"]: r["label"] for r in first.collect()}  # LABELLED at most
+    found = sorted(of(first), key=lambda r: (y_of[r[0]], r[1:]))
+    apart = set_apart(np.array([y_of[r[0]] for r in found]))
+    found = [r for flag in (True, False) for r, here in zip(found, apart, strict=True) if here == flag]
+    y = np.array([y_of[r[0]] for r in found])
+    a, b = _views(found)
+    used = set(y_of)
+    del found  # the driver holds the sample once
+
+    def exchange(models: list[Linear], scales: list[Linear]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        picked = stored(_confident(rows, used, models, scales), "confident")
+        sure = picked.collect()  # EXCHANGED per view and class at most
+        views = {r[0]: r for r in of(picked)} if sure else {}
+        given = []
+        for k in (0, 1):
+            mine = sorted((views[r["id"]][1:], r["label"], r["id"]) for r in sure if r["view"] == k)
+            given.append((*_views([views[i] for *_, i in mine]), np.array([z for _, z, _ in mine])))
+        used.update(views)
+        return given
+
+    return co_train(a, b, y, exchange, int(apart.sum()))
 
 
 def score(docs: DataFrame, model: Model | None, text: str = "text", source: str = "source", lang: str = "lang", name: str = "score") -> DataFrame:
