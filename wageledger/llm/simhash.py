@@ -3,9 +3,10 @@
 A fingerprint is eight bytes at fixed positions. Two fingerprints that differ
 in at most ``distance`` bits differ in at most that many bytes, so they share
 at least ``8 - distance`` positional bytes. The index posts each fingerprint
-under sets of positional bytes, chosen so that every such pair meets in one
-posting; the shared positional bytes of the pair are then tallied, pairs below
-the guaranteed minimum go, and the rest is verified bit by bit.
+under sets of positional bytes, chosen so that every such pair meets in at least
+one posting. The positions of all postings that a pair meets in are tallied,
+pairs below the minimum that the sets guarantee go, and the rest is verified bit
+by bit.
 
 Documents of one fingerprint are one class, and only classes are linked.
 Postings with many classes are not paired. Two fingerprints within two bits
@@ -85,6 +86,13 @@ def masks(distance: int) -> list[int]:
     return [m - (1 << 64) if m >> 63 else m for m in found]
 
 
+def guaranteed(distance: int) -> int:
+    """The least number of positions that the postings of a pair within ``distance`` bits tally."""
+    sets = position_sets(distance)
+    lost = combinations(range(BYTES), min(distance, BYTES - 1))
+    return min(len({p for s in sets if not set(s) & set(gone) for p in s}) for gone in lost)
+
+
 def links(classes: DataFrame, distance: int = 2) -> DataFrame:
     """Edges ``(a, b)`` between distinct fingerprints ``fp`` that join the same groups as all links do.
 
@@ -102,11 +110,10 @@ def links(classes: DataFrame, distance: int = 2) -> DataFrame:
     sized = stored(posted.join(sizes, ["set", "shared"]), "postings")
     few = sized.where(F.col("n") <= PAIRED)
     left, right = few.withColumnRenamed("fp", "a"), few.withColumnRenamed("fp", "b").drop("n")
-    pairs = left.join(right, ["set", "shared"]).where("a < b").withColumn("diff", F.col("a").bitwiseXOR(F.col("b")))
-    tally = sum(
-        (F.shiftrightunsigned("diff", 8 * p).bitwiseAND(F.lit(255)) == 0).cast("int") for p in range(BYTES)
-    )
-    pairs = pairs.where(tally >= BYTES - distance).where(F.bit_count("diff") <= distance).select("a", "b")
+    places = F.element_at(F.array(*(F.lit(sum(1 << p for p in s)) for s in position_sets(distance))), F.col("set") + 1)
+    met = left.join(right, ["set", "shared"]).where("a < b").select("a", "b", places.alias("places"))
+    tally = met.groupBy("a", "b").agg(F.bit_count(F.bit_or("places")).alias("tally")).where(F.col("tally") >= guaranteed(distance))
+    pairs = tally.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance).select("a", "b")
 
     # bits outside the mask may differ in a hot posting; flip each of them
     flips = []
