@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+# The folder of the job that runs, if it cleans up.
+_run: ContextVar[str | None] = ContextVar("run", default=None)
 
 
 def scratch_folder(spark: SparkSession) -> str:
@@ -18,7 +24,7 @@ def scratch_folder(spark: SparkSession) -> str:
     """
     folder = spark.conf.get(SETTING, None) or spark.sparkContext.getConf().get(SETTING)
     if not folder:
-        if not spark.sparkContext.master.startswith("local["):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError(f"set {SETTING} to a folder that driver and executors share")
         folder = tempfile.mkdtemp(prefix="wageledger-")
         spark.conf.set(SETTING, folder)
@@ -27,7 +33,24 @@ def scratch_folder(spark: SparkSession) -> str:
 
 def new_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing else uses."""
-    return f"{scratch_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    folder = _run.get() or scratch_folder(spark).rstrip("/")
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def cleaned(spark: SparkSession) -> Iterator[None]:
+    """What is stored inside goes to a folder of its own, which is deleted at the end.
+
+    For jobs that are done with all they stored; not around what returns a DataFrame.
+    """
+    folder = f"{scratch_folder(spark).rstrip('/')}/run-{uuid.uuid4().hex}"
+    before = _run.set(folder)
+    try:
+        yield
+    finally:
+        _run.reset(before)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import json
+import time
+import uuid
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from contextlib import contextmanager
+from datetime import timedelta
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -29,8 +32,8 @@ def write_table(df: DataFrame, name: str, partition: Sequence[str] = (), cluster
     the table to one task.
 
     The table keeps its former version until the new data is written:
-    partitions are then exchanged in place, and an unpartitioned table swaps
-    names with the new one, during which it is missing for a moment.
+    partitions are then exchanged in place, and an unpartitioned table is
+    pointed to the folder of the new version.
     """
     spark = df.sparkSession
     keys = [*partition, *cluster]
@@ -38,15 +41,56 @@ def write_table(df: DataFrame, name: str, partition: Sequence[str] = (), cluster
         df = df.hint("rebalance", *keys).sortWithinPartitions(*keys)
     writer = df.write.format("parquet").mode("overwrite")
     if not partition:
-        writer.saveAsTable(f"{name}__next")
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-        recover_swap(spark, name)
+        _point_table(df, name)
     elif spark.catalog.tableExists(name) and set(spark.table(name).columns) == set(df.columns):
         _exchange_partitions(df, name, partition)
     else:
         writer.partitionBy(*partition).saveAsTable(name)
 
 
+# How long the folders of former versions stay for readers that have begun, and for sessions that remember them.
+RETAINED = timedelta(days=1)
+
+
+def _point_table(df: DataFrame, name: str) -> None:
+    """Write a version of an unpartitioned table to a folder of its own, and point the table to it.
+
+    The pointer is the table's location, which the catalog changes in one step:
+    the table is never missing, and a writer that dies leaves it as it was.
+    Former versions stay for a day: sessions that have read the table keep to
+    the version they know until they refresh it. Only a change of columns, or a
+    table that was made otherwise, is dropped and created anew.
+    """
+    spark = df.sparkSession
+    database, _, table = name.rpartition(".")
+    base = spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri
+    versions = f"{base.rstrip('/')}/{table}__versions"
+    folder = f"{versions}/{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    former = _location(spark, name) if spark.catalog.tableExists(name) else None
+    if former and f"{table}__versions/" in former and [f.simpleString() for f in spark.table(name).schema] == [f.simpleString() for f in df.schema]:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.catalog.createTable(name, path=folder, source="parquet", schema=df.schema)
+    _forget(spark, versions, {folder, former})
+
+
+def _forget(spark: SparkSession, versions: str, kept: set[str | None]) -> None:
+    """Delete the versions that are older than ``RETAINED`` and not among the ``kept``."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(versions)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = {k.rsplit("/", 1)[-1] for k in kept if k}
+    oldest = (time.time() - RETAINED.total_seconds()) * 1000
+    for status in files.listStatus(path):
+        if status.getPath().getName() not in names and status.getModificationTime() < oldest:
+            files.delete(status.getPath(), True)
+
+
+def _location(spark: SparkSession, name: str) -> str:
+    return spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()["data_type"]
+
+
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
@@ -82,6 +126,7 @@ def drop_partitions(spark: SparkSession, name: str, partition: Sequence[str], go
 
 @contextmanager
 def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
+    """As a setting of the session, since an insert into a table ignores the writer's option of that name."""
     key = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(key)
     spark.conf.set(key, "dynamic")
@@ -124,8 +169,14 @@ def refresh_aggregate(
     if not touched:
         return
     stale = source.where(among(partition, touched))
-    replace_partitions(build(stale), name, [partition, *cluster])
     there = {row[0] for row in stale.select(partition).distinct().collect()}
+    refresh_partitions(build(stale), name, partition, touched, there, cluster)
+
+
+def refresh_partitions(df: DataFrame, name: str, partition: str, touched: Iterable, there: set, cluster: Sequence[str] = ()) -> None:
+    """Replace the ``touched`` partitions by ``df``, and drop those of them that are not ``there`` any more."""
+    spark = df.sparkSession
+    replace_partitions(df, name, [partition, *cluster])
     gone = {(None if v is None else str(v),) for v in touched if v not in there}
     drop_partitions(spark, name, [partition], [v for v in partition_values(spark, name) if v in gone])
 
@@ -155,23 +206,27 @@ def stale_partitions(fresh: DataFrame, kept: DataFrame, partition: str = "fiscal
     return both.agg(F.sum("n").alias("n"), F.bit_xor("x").alias("x")).where("n != 0 or x != 0").select(partition)
 
 
-def merge_table(updates: DataFrame, name: str, key: str, cluster: Sequence[str] = ()) -> None:
-    """Upsert into an unpartitioned table, by writing its merged version and swapping names.
+def merge_table(updates: DataFrame, name: str, key: str, cluster: Sequence[str] = (), gone: DataFrame | None = None) -> None:
+    """Upsert into an unpartitioned table, by writing its merged version and pointing the table to it.
 
     The updates are stored first: they are read twice, may be derived from the
-    table itself, and if small are then broadcast instead of shuffling it. A
-    run that dies while writing leaves the table as it was; one that dies
-    during the swap is finished by the next ``recover_swap``.
+    table itself, and if small are then broadcast instead of shuffling it. Rows
+    whose key is in ``gone`` and not among the updates are removed. A run that
+    dies leaves the table as it was. ``versions.merge`` writes touched buckets
+    only, for tables that are worth it.
     """
     spark = updates.sparkSession
     recover_swap(spark, name)
     if spark.catalog.tableExists(name):
-        updates = merge_upsert(spark.table(name), stored(updates, "updates"), key)
+        kept = spark.table(name)
+        if gone is not None:
+            kept = kept.join(stored(gone.select(key), "gone"), key, "left_anti")
+        updates = merge_upsert(kept, stored(updates, "updates"), key)
     write_table(updates, name, cluster=cluster)
 
 
 def recover_swap(spark: SparkSession, name: str) -> None:
-    """Finish a swap: the next version becomes the table when the table is gone."""
+    """Finish the swap of names that an earlier release began: the next version becomes the table when the table is gone."""
     if not spark.catalog.tableExists(name) and spark.catalog.tableExists(f"{name}__next"):
         spark.sql(f"ALTER TABLE {name}__next RENAME TO {name}")
 
