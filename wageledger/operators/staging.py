@@ -38,6 +38,16 @@ def with_audit(df: DataFrame, run_ts: datetime, path: str = "landed_path") -> Da
     )
 
 
+def with_file_stamps(audited: DataFrame, stamps: DataFrame) -> DataFrame:
+    """Audited rows with the ingestion time of their own file, by ``source_file, stamp``; other files keep theirs.
+
+    ``stamps`` holds one row per file of a load job, whose number is bounded.
+    """
+    rows = audited.join(F.broadcast(stamps), "source_file", "left")
+    stamp = F.coalesce("stamp", "raw_ingested_at").alias("raw_ingested_at")
+    return rows.select(*(stamp if c == "raw_ingested_at" else F.col(c) for c in audited.columns))
+
+
 def stage_records(raw: DataFrame, run_ts: datetime | None = None) -> DataFrame:
     """One typed record per raw row; what cannot be parsed becomes NULL (dates, year) or 0 (amounts).
 

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from wageledger.functions.paths import landed_name, landed_object
-from wageledger.plans.ingest import ensure_raw, load_objects
+from wageledger.plans.ingest import BATCH_FILES, ensure_raw, load_objects
 from wageledger.schemas import landed_schema
 from wageledger.sources.landing import is_complete
 
@@ -24,6 +24,7 @@ def arrivals(spark: SparkSession, landing: str) -> DataFrame:
         spark.readStream.format("binaryFile")
         .schema(_FILES)
         .option("recursiveFileLookup", "true")
+        .option("maxFilesPerTrigger", BATCH_FILES)
         .option("pathGlobFilter", "*.csv")
         .load(landing)
     )
@@ -57,7 +58,7 @@ def ingest_stream(
     ensure_raw(spark, raw, schema)
 
     def load(files: DataFrame, batch: int) -> None:
-        objects = files.distinct().collect()  # names of one batch
+        objects = files.distinct().orderBy("source_file").collect()  # BATCH_FILES names at most
         whole = [row for row in objects if not row["in_parts"] or is_complete(spark, row["landed_object"])]
         names = {row["source_file"] for row in whole}
         if len(names) < len(whole):
