@@ -12,6 +12,7 @@ from wageledger.plans.ingest import append_raw, ensure_raw
 from wageledger.plans.suite import ChecksFailed, declared, violations
 from wageledger.plans.warehouse import LAYERS, Tables, Views, transform
 from wageledger.schemas import RAW_COLUMNS
+from wageledger.sinks import versions
 from wageledger.sinks.tables import (
     among,
     create_databases,
@@ -40,7 +41,8 @@ def load(spark, name, file, at, *records):
 
 
 @pytest.fixture
-def names(spark, request):
+def names(spark, request, monkeypatch):
+    monkeypatch.setattr("wageledger.plans.warehouse.STATE_BUCKETS", 4)
     create_databases(spark, LAYERS)
     tables = Tables()
     tables = Tables(**{f.name: f"{getattr(tables, f.name)}_{request.node.originalname}" for f in fields(tables)})
@@ -51,6 +53,8 @@ def names(spark, request):
 def drop_all(spark, tables):
     for f in fields(Views):
         spark.sql(f"DROP VIEW IF EXISTS {f.default}")
+    for name in (tables.state, tables.totals):
+        versions.drop(spark, name)
     for f in fields(tables):
         spark.sql(f"DROP TABLE IF EXISTS {getattr(tables, f.name)}")
 
@@ -105,6 +109,77 @@ def test_incremental_equals_full_refresh(spark, names):
     assert dicts(spark.table(names.wide).drop("dbt_updated_at")) == merged
 
 
+ORDERED = ("fact", "wide", "employee", "overtime")
+
+
+def contents(spark, names):
+    return {t: dicts(spark.table(getattr(names, t)).drop("dbt_updated_at")) for t in ORDERED}
+
+
+@pytest.mark.parametrize("order", [(0, 1, 2), (2, 1, 0)])
+def test_incremental_equals_full_refresh_in_any_order(spark, names, order):
+    """An open position that came before the closed record stays open; files are added, replaced and taken away."""
+    loads = [
+        ("payroll_1.csv", DAY_1, [record("h1"), record("h2", Year="2025", Title="Guard")]),
+        ("payroll_2.csv", DAY_2, [record("h1", Year="2026", Separation_Date="03/01/2025", Pay_Basis="Weekly")]),
+        ("payroll_3.csv", DAY_2 + timedelta(days=1), [record("h3", Year="2027", Overtime_Pay="0.1"), record("h2", Year="2026", Title="Guard", Department="X")]),
+    ]
+    for i in order:
+        load(spark, names.raw, loads[i][0], loads[i][1], *loads[i][2])
+        transform(spark, DAY_2 + timedelta(hours=1), names, full_refresh=False)
+    # the second file is replaced: another person, another year
+    load(spark, names.raw, "payroll_2.csv", DAY_2 + timedelta(days=2), record("h4", Year="2028"))
+    transform(spark, DAY_2 + timedelta(hours=2), names, full_refresh=False)
+    spark.sql(f"ALTER TABLE {names.raw} DROP PARTITION (source_file = 'payroll_3.csv')")
+    transform(spark, DAY_2 + timedelta(hours=3), names, full_refresh=False)
+    incremental = contents(spark, names)
+    assert {r["name_hash"] for r in incremental["wide"]} == {"h1", "h2", "h4"}
+    transform(spark, DAY_2 + timedelta(hours=4), names)
+    assert contents(spark, names) == incremental
+
+
+def test_nothing_new_rewrites_nothing(spark, names):
+    load(spark, names.raw, "payroll_1.csv", DAY_1, record("h1"))
+    transform(spark, DAY_1, names)
+    files = {t: spark.table(getattr(names, t)).select("_metadata.file_path").first()[0] for t in ORDERED}
+    transform(spark, DAY_2, names, full_refresh=False)
+    assert files == {t: spark.table(getattr(names, t)).select("_metadata.file_path").first()[0] for t in ORDERED}
+
+
+def test_big_table_is_written_for_touched_years(spark, names):
+    load(spark, names.raw, "payroll_1.csv", DAY_1, record("h1"), record("h2", Year="2026"), record("h3", Year="2027"))
+    transform(spark, DAY_1, names)
+    # h1 gets another basis, which shows in 2025; 2027 is nobody's who changed
+    load(spark, names.raw, "payroll_2.csv", DAY_2, record("h1", Year="2026", Pay_Basis="Weekly"))
+    transform(spark, DAY_2, names, full_refresh=False)
+    stamps = {(r["name_hash"], r["fiscal_year"]): r["dbt_updated_at"] for r in spark.table(names.wide).collect()}
+    assert stamps["h1", 2025] == stamps["h1", 2026] == stamps["h2", 2026] > stamps["h3", 2027]
+
+
+def test_row_rules_are_checked_while_writing(spark, names, monkeypatch):
+    """Only what no run writes whole, or what aggregates, is scanned for them."""
+    scanned, plain = set(), suite.violations
+
+    def recording(table, tables, rules, rows_too=True):
+        scanned.update({table} if rows_too else ())
+        return plain(table, tables, rules, rows_too)
+
+    monkeypatch.setattr(suite, "violations", recording)
+    load(spark, names.raw, "payroll_1.csv", DAY_1, record("h1"))
+    transform(spark, DAY_1, names)
+    assert scanned == {"raw_payroll", "mv_overtime_by_job", "v_payroll_kpis", "v_hr_dynamics", "v_payroll_composition"}
+    load(spark, names.raw, "payroll_2.csv", DAY_2, record("h2", Year="2031", Total_Earnings="9e9"))
+    with pytest.raises(ChecksFailed, match=r"stg_payroll: in_set\(fiscal_year\) 1 rows; between\(total_earnings\) 1 rows"):
+        transform(spark, DAY_2, names, full_refresh=False)
+
+
+def test_quarantine(spark):
+    rules = suite.Rules(("a",), (suite.InSet("a", (1, 2)), suite.Between("b", 0, 5)))
+    good, bad = suite.quarantined(spark.createDataFrame([(1, 1), (1, 9), (3, None), (None, -1)], "a int, b int"), rules)
+    assert dicts(good) == [{"a": 1, "b": 1}]
+    assert {tuple(r["broken_rules"]) for r in bad.collect()} == {("between(b)",), ("in_set(a)",), ("not_null(a)", "between(b)")}
+
+
 def test_views_follow_the_tables(spark, names):
     load(spark, names.raw, "payroll_1.csv", DAY_1, record("h1"))
     transform(spark, DAY_1, names)

@@ -14,6 +14,7 @@ from wageledger.plans.ingest import extract, ingest
 from wageledger.plans.warehouse import LAYERS, Tables, transform
 from wageledger.schemas import schema_from_json
 from wageledger.session import tune
+from wageledger.sinks.scratch import cleaned
 from wageledger.sinks.tables import create_databases
 
 
@@ -45,18 +46,19 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     log = logging.getLogger("wageledger")
     run_ts = datetime.now(UTC)
     create_databases(spark, LAYERS)
-    if args.job in ("extract", "all"):
-        salt = Path(args.salt_file).read_text(encoding="utf-8").strip()
-        if not salt:
-            raise ValueError("the salt is empty")
-        log.info("landed %s", extract(spark, args.snapshot, args.landing, salt, run_ts, args.multiline))
-    if args.job in ("load", "all"):
-        schema = schema_from_json(args.schema) if args.schema else None
-        log.info("raw rows: %s", ingest(spark, args.landing, Tables().raw, run_ts, schema, multiline=args.multiline))
-    if args.job in ("transform", "all"):
-        failures = transform(spark, run_ts, full_refresh=not args.incremental, strict=not args.lenient, latest_only=args.latest_snapshot)
-        for failure in failures:
-            log.warning("check failed: %s", failure)
+    with cleaned(spark):
+        if args.job in ("extract", "all"):
+            salt = Path(args.salt_file).read_text(encoding="utf-8").strip()
+            if not salt:
+                raise ValueError("the salt is empty")
+            log.info("landed %s", extract(spark, args.snapshot, args.landing, salt, run_ts, args.multiline))
+        if args.job in ("load", "all"):
+            schema = schema_from_json(args.schema) if args.schema else None
+            log.info("raw rows: %s", ingest(spark, args.landing, Tables().raw, run_ts, schema, multiline=args.multiline))
+        if args.job in ("transform", "all"):
+            failures = transform(spark, run_ts, full_refresh=not args.incremental, strict=not args.lenient, latest_only=args.latest_snapshot)
+            for failure in failures:
+                log.warning("check failed: %s", failure)
 
 
 if __name__ == "__main__":

@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from wageledger.operators.rollups import PAY_TYPES
 from wageledger.operators.staging import MEASURES
-from wageledger.plans.reports import YEARS
+from wageledger.plans.inputs import YEARS
+from wageledger.plans.suite import declared
 from wageledger.sources.order_ledger import SALT
 
 AS_OF = "TIMESTAMP '2025-01-03 00:00:00'"
@@ -448,6 +449,82 @@ _QUERIES: dict[str, tuple[list[str], str]] = {
 }
 
 
+GOLDEN = _employees("gold", "stg", "source_file <> 'payroll_3.csv'")
+
+
+def _quarantine() -> str:
+    """Each staged row's broken rules, in the order they are declared."""
+    rules = declared(YEARS)["stg_payroll"]
+    tests = [f"CASE WHEN {c} IS NULL THEN 'not_null({c})' END" for c in rules.not_null if c != "stg_processed_at"]
+    tests.append(f"CASE WHEN fiscal_year NOT IN ({', '.join(map(str, YEARS))}) THEN 'in_set(fiscal_year)' END")
+    tests.append("CASE WHEN total_earnings < -100000 OR total_earnings > 1000000 THEN 'between(total_earnings)' END")
+    listed = f"array_to_string(list_filter([{', '.join(tests)}], lambda r: r IS NOT NULL), ', ')"
+    return f"""SELECT CASE WHEN rules = '' THEN 'none' ELSE rules END AS rules, count(*) AS n_records
+        FROM (SELECT {listed} AS rules FROM stg) GROUP BY 1"""
+
+
+_REPORT = """fiscal_year, agency_name, job_title, round(sum(overtime_pay), 2) AS total_overtime_pay,
+  round(sum(regular_pay), 2) AS total_regular_pay, round(sum(total_earnings), 2) AS total_earnings_combined, count(*) AS employee_count"""
+
+_HEADCOUNT = "count(DISTINCT employee_key) AS headcount FROM wide WHERE employee_key IS NOT NULL"
+
+_QUERIES |= {
+    "table_versions": (
+        [*BASE, EMP, OLD_EMP],
+        " UNION ALL ".join(
+            f"""SELECT '{version}' AS version, agency_name, count(*) AS positions,
+                  count(*) FILTER (separation_date IS NULL) AS open_positions FROM {source} GROUP BY agency_name"""
+            for version, source in (("before", "old_emp"), ("now", "emp"))
+        ),
+    ),
+    "bucket_merge": _QUERIES["merge_upsert"],
+    "golden_state": ([*BASE, GOLDEN], f"SELECT {_PERSON} FROM gold"),
+    "aggregate_refresh": (BASE, f"SELECT {_REPORT} FROM stg WHERE source_file <> 'payroll_1.csv' GROUP BY ALL"),
+    "headcount_bitmaps": (
+        STAR,
+        f"""SELECT 'group' AS level, fiscal_year, agency_name, {_HEADCOUNT} GROUP BY fiscal_year, agency_name
+            UNION ALL SELECT 'agency', NULL, agency_name, {_HEADCOUNT} GROUP BY agency_name
+            UNION ALL SELECT 'year', fiscal_year, NULL, {_HEADCOUNT} GROUP BY fiscal_year
+            UNION ALL SELECT 'all', NULL, NULL, {_HEADCOUNT}""",
+    ),
+    "quoted_records": (
+        [SNAPSHOT, RAW],
+        """SELECT name_hash, Working_Agency || chr(10) || '"' || Department || '"' || chr(10) || ',' AS agency, count(*) AS n_records
+           FROM raw GROUP BY ALL""",
+    ),
+    "changed_files": (
+        [SNAPSHOT, RAW],
+        """SELECT DISTINCT source_file,
+             CASE source_file WHEN 'payroll_0.csv' THEN 'same' WHEN 'payroll_3.csv' THEN 'new' ELSE 'suspect' END AS kind,
+             source_file IN ('payroll_1.csv', 'payroll_3.csv') AS is_read FROM raw""",
+    ),
+    "ingest_twice": (
+        [SNAPSHOT, RAW],
+        """SELECT source_file, count(*) AS n_records, CAST(1 AS BIGINT) AS load_times,
+             CAST(substr(source_file, 9, 1) AS BIGINT) // 2 AS hour, CAST(substr(source_file, 9, 1) AS BIGINT) % 2 AS place
+           FROM raw WHERE name_hash IS NOT NULL GROUP BY source_file""",
+    ),
+    "partitioned_table": (
+        [*BASE, EMP, FACT],
+        f"""SELECT fiscal_year, agency_key, round(sum(total_earnings), 2) AS total, count(*) AS n_records FROM fact
+            WHERE fiscal_year < {YEARS[2]} OR raw_ingested_at >= {AS_OF} GROUP BY fiscal_year, agency_key""",
+    ),
+    "stored_aggregate": (
+        STAR,
+        f"SELECT {_REPORT} FROM wide WHERE raw_ingested_at < {AS_OF} OR fiscal_year >= {YEARS[1]} GROUP BY ALL",
+    ),
+    "stored_views": (
+        [*STAR, KPIS, MOVES],
+        """SELECT k.fiscal_year, k.agency_name, headcount, round(payroll, 2) AS total_payroll, round(overtime, 2) AS total_overtime,
+             round(regular, 2) AS total_regular_pay, records AS total_records, CAST(coalesce(events, 0) AS BIGINT) AS events,
+             CAST(5 AS BIGINT) AS pay_types
+           FROM kpis k LEFT JOIN (SELECT fiscal_year, agency_name, sum(n) AS events FROM moves GROUP BY ALL) m
+             ON m.fiscal_year IS NOT DISTINCT FROM k.fiscal_year AND m.agency_name IS NOT DISTINCT FROM k.agency_name""",
+    ),
+    "dq_quarantine": (BASE, _quarantine()),
+}
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         name: (f"WITH {','.join(parts)}\n{final}" if parts else final) for name, (parts, final) in _QUERIES.items()

@@ -6,69 +6,28 @@ compare exactly with other engines.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from datetime import UTC, datetime
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from wageledger.functions import salted_hash
-from wageledger.operators import checks, dimensions, lookups, names, rollups, staging, upsert
+from wageledger.operators import checks, dimensions, golden, lookups, names, rollups, staging, upsert
 from wageledger.plans.ingest import extract
+from wageledger.plans.inputs import RUN_TS, YEARS, Query, employees_as_of, keyed, plain, rounded, staged
+from wageledger.plans.inputs import before as _before
+from wageledger.plans.stateful import STATEFUL
 from wageledger.sinks.landing import land_snapshot
-from wageledger.sinks.scratch import new_path
+from wageledger.sinks.scratch import new_path, stored
 from wageledger.sources.dates import calendar, date_range_of
 from wageledger.sources.landing import new_files, read_landed
 from wageledger.sources.order_ledger import SALT, order_raw, order_snapshot, table
 
-Query = Callable[[SparkSession, str], DataFrame]
-
-# The state of the raw table after two of its four daily loads.
-AS_OF = datetime(2025, 1, 3, tzinfo=UTC)
-RUN_TS = datetime(2025, 2, 1, tzinfo=UTC)
-YEARS = (1996, 1997, 1998, 1999, 2000)
-
-
-def _round(column: str, digits: int) -> Column:
-    return F.round(column, digits).alias(column)
-
-
-def plain(df: DataFrame, digits: int = 2) -> DataFrame:
-    """Dates and times as text, doubles rounded."""
-    out = []
-    for field in df.schema.fields:
-        if isinstance(field.dataType, T.DoubleType):
-            out.append(_round(field.name, digits))
-        elif isinstance(field.dataType, T.DateType):
-            out.append(F.date_format(field.name, "yyyy-MM-dd").alias(field.name))
-        elif isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
-            out.append(F.date_format(field.name, "yyyy-MM-dd HH:mm:ss").alias(field.name))
-        else:
-            out.append(F.col(field.name))
-    return df.select(*out)
-
-
-def _before(df: DataFrame) -> DataFrame:
-    return df.where(F.col("raw_ingested_at") < F.lit(AS_OF))
-
-
-def _stg(spark: SparkSession, folder: str) -> DataFrame:
-    return staging.stage_records(order_raw(spark, folder))
-
-
-def _keyed(spark: SparkSession, folder: str) -> DataFrame:
-    """Records with keys: all the reports need that do not look at separations."""
-    return lookups.derive_keys(_stg(spark, folder))
-
-
 def _dynamics(spark: SparkSession, folder: str) -> DataFrame:
-    stg = _stg(spark, folder)
+    stg = staged(spark, folder)
     return rollups.hr_dynamics(lookups.person_years(stg, dimensions.dim_employee(stg)))
 
 
 def _kpis(spark: SparkSession, folder: str) -> DataFrame:
-    return rollups.payroll_kpis(_keyed(spark, folder))
+    return rollups.payroll_kpis(keyed(spark, folder))
 
 
 def _label_dims(stg: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -95,23 +54,23 @@ def customer_name_hash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stage_records(spark: SparkSession, folder: str) -> DataFrame:
-    return plain(_stg(spark, folder))
+    return plain(staged(spark, folder))
 
 
 def latest_snapshot(spark: SparkSession, folder: str) -> DataFrame:
-    return plain(staging.latest_snapshot(_stg(spark, folder)))
+    return plain(staging.latest_snapshot(staged(spark, folder)))
 
 
 def dim_agency(spark: SparkSession, folder: str) -> DataFrame:
-    return dimensions.dim_agency(_stg(spark, folder))
+    return dimensions.dim_agency(staged(spark, folder))
 
 
 def dim_job_title(spark: SparkSession, folder: str) -> DataFrame:
-    return dimensions.dim_job_title(_stg(spark, folder))
+    return dimensions.dim_job_title(staged(spark, folder))
 
 
 def latest_employee(spark: SparkSession, folder: str) -> DataFrame:
-    return plain(dimensions.dim_employee(_stg(spark, folder)))
+    return plain(dimensions.dim_employee(staged(spark, folder)))
 
 
 def latest_event(spark: SparkSession, folder: str) -> DataFrame:
@@ -142,21 +101,21 @@ def raw_append_audit(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def fact_keys(spark: SparkSession, folder: str) -> DataFrame:
-    stg = _stg(spark, folder)
+    stg = staged(spark, folder)
     agencies, titles = _label_dims(stg)
     keyed = lookups.lookup_keys(stg, dimensions.dim_employee(stg), agencies, titles)
     return plain(lookups.fact_payroll(keyed))
 
 
 def one_big_table(spark: SparkSession, folder: str) -> DataFrame:
-    stg = _stg(spark, folder)
+    stg = staged(spark, folder)
     agencies, titles = _label_dims(stg)
     fact = lookups.fact_payroll(lookups.derive_keys(stg))
     return plain(lookups.denormalize(fact, dimensions.dim_employee(stg), agencies, titles))
 
 
 def wide_records(spark: SparkSession, folder: str) -> DataFrame:
-    stg = _stg(spark, folder)
+    stg = staged(spark, folder)
     return plain(lookups.wide_records(stg, dimensions.dim_employee(stg)))
 
 
@@ -165,7 +124,7 @@ def payroll_kpis(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def overtime_by_job(spark: SparkSession, folder: str) -> DataFrame:
-    return plain(rollups.overtime_by_job(_keyed(spark, folder)))
+    return plain(rollups.overtime_by_job(keyed(spark, folder)))
 
 
 def hr_dynamics(spark: SparkSession, folder: str) -> DataFrame:
@@ -173,7 +132,7 @@ def hr_dynamics(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def payroll_composition(spark: SparkSession, folder: str) -> DataFrame:
-    return plain(rollups.payroll_composition(_keyed(spark, folder)))
+    return plain(rollups.payroll_composition(keyed(spark, folder)))
 
 
 def lineitem_composition(spark: SparkSession, folder: str) -> DataFrame:
@@ -184,7 +143,7 @@ def lineitem_composition(spark: SparkSession, folder: str) -> DataFrame:
 
 def overtime_share_total(spark: SparkSession, folder: str) -> DataFrame:
     return rollups.overtime_share_total(_kpis(spark, folder)).select(
-        _round("total_overtime", 2), _round("total_payroll", 2), _round("overtime_share", 6)
+        rounded("total_overtime", 2), rounded("total_payroll", 2), rounded("overtime_share", 6)
     )
 
 
@@ -193,7 +152,7 @@ def overtime_share_agency(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def overtime_share_job(spark: SparkSession, folder: str) -> DataFrame:
-    return plain(rollups.overtime_share_job(rollups.overtime_by_job(_keyed(spark, folder))), 6)
+    return plain(rollups.overtime_share_job(rollups.overtime_by_job(keyed(spark, folder))), 6)
 
 
 def workforce_balance(spark: SparkSession, folder: str) -> DataFrame:
@@ -208,30 +167,25 @@ def headcount_payroll_corr(spark: SparkSession, folder: str) -> DataFrame:
     return plain(rollups.headcount_payroll_corr(_kpis(spark, folder)), 6)
 
 
-def _employees_as_of(stg: DataFrame) -> DataFrame:
-    """The employee dimension as the last run before ``AS_OF`` left it."""
-    return dimensions.dim_employee(_before(stg), datetime(2025, 1, 2, 12, tzinfo=UTC))
-
-
 def incremental_since(spark: SparkSession, folder: str) -> DataFrame:
-    stg = _stg(spark, folder)
-    return plain(upsert.since_high_water(stg, _employees_as_of(stg)))
+    stg = staged(spark, folder)
+    return plain(upsert.since_high_water(stg, employees_as_of(stg)))
 
 
 def merge_upsert(spark: SparkSession, folder: str) -> DataFrame:
-    stg = _stg(spark, folder)
-    target = _employees_as_of(stg)
+    stg = staged(spark, folder)
+    target = employees_as_of(stg)
     updates = dimensions.dim_employee(upsert.since_high_water(stg, target), RUN_TS)
     return plain(upsert.merge_upsert(target, updates, "employee_key"))
 
 
 def dq_not_null(spark: SparkSession, folder: str) -> DataFrame:
-    stg = _stg(spark, folder)
+    stg = staged(spark, folder)
     return checks.not_null(stg, stg.columns)
 
 
 def dq_unique(spark: SparkSession, folder: str) -> DataFrame:
-    return checks.unique(lookups.fact_payroll(_keyed(spark, folder)), "payroll_key")
+    return checks.unique(lookups.fact_payroll(keyed(spark, folder)), "payroll_key")
 
 
 def dq_unique_documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -247,7 +201,7 @@ def dq_document_ids(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def dq_in_set(spark: SparkSession, folder: str) -> DataFrame:
-    return checks.in_set(_stg(spark, folder), "fiscal_year", YEARS)
+    return checks.in_set(staged(spark, folder), "fiscal_year", YEARS)
 
 
 def dq_conversation_roles(spark: SparkSession, folder: str) -> DataFrame:
@@ -256,7 +210,7 @@ def dq_conversation_roles(spark: SparkSession, folder: str) -> DataFrame:
 
 def dq_between(spark: SparkSession, folder: str) -> DataFrame:
     known = F.col("total_earnings").isNotNull()
-    return plain(checks.between(_stg(spark, folder), "total_earnings", 1_000.0, 450_000.0, where=known))
+    return plain(checks.between(staged(spark, folder), "total_earnings", 1_000.0, 450_000.0, where=known))
 
 
 def dq_range(spark: SparkSession, folder: str) -> DataFrame:
@@ -270,8 +224,9 @@ def dq_declared_ranges(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def dq_relationships(spark: SparkSession, folder: str) -> DataFrame:
-    stg = _stg(spark, folder)
-    fact = lookups.fact_payroll(lookups.derive_keys(stg))
+    # what keys and golden records take, once for the three checks
+    stg = stored(staged(spark, folder).select(*golden.STATE[1:]), "staged_keys")
+    fact = lookups.derive_keys(stg)
     agencies, titles = _label_dims(stg)
     parents = {"employee_key": dimensions.dim_employee(stg), "agency_key": agencies, "job_title_key": titles}
     rows = [checks.relation_summary(f"fct_payroll.{key}", fact, key, dim, key) for key, dim in parents.items()]
@@ -280,9 +235,9 @@ def dq_relationships(spark: SparkSession, folder: str) -> DataFrame:
 
 def dq_late_employees(spark: SparkSession, folder: str) -> DataFrame:
     """Fact rows of people who are not in the dimension as it was before the last loads."""
-    stg = _stg(spark, folder)
+    stg = staged(spark, folder)
     fact = lookups.fact_payroll(lookups.derive_keys(stg))
-    return checks.relationships(fact, "employee_key", _employees_as_of(stg), "employee_key")
+    return checks.relationships(fact, "employee_key", employees_as_of(stg), "employee_key")
 
 
 def dq_orphan_lineitems(spark: SparkSession, folder: str) -> DataFrame:
@@ -296,12 +251,12 @@ def dq_orphan_labels(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def reconcile_totals(spark: SparkSession, folder: str) -> DataFrame:
-    keyed = _keyed(spark, folder)
-    return plain(checks.reconcile_totals(keyed, rollups.payroll_kpis(_before(keyed))))
+    records = keyed(spark, folder)
+    return plain(checks.reconcile_totals(records, rollups.payroll_kpis(_before(records))))
 
 
 def totals_agree(spark: SparkSession, folder: str) -> DataFrame:
-    return plain(checks.compare_totals(_keyed(spark, folder)))
+    return plain(checks.compare_totals(keyed(spark, folder)))
 
 
 def landed_round_trip(spark: SparkSession, folder: str) -> DataFrame:
@@ -370,4 +325,5 @@ REPORTS: dict[str, Query] = {
     "dq_late_employees": dq_late_employees,
     "totals_agree": totals_agree,
     "landed_round_trip": landed_round_trip,
+    **STATEFUL,
 }

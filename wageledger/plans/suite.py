@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from wageledger.operators import checks
@@ -151,22 +153,63 @@ def declared(years: Iterable[int] = YEARS) -> dict[str, Rules]:
     }
 
 
-def violations(table: str, tables: Mapping[str, DataFrame], rules: Rules) -> DataFrame:
+def _row_rules(rules: Rules) -> list[tuple[str, str, Column]]:
+    """(rule, column, what breaks it) of the rules that look at one row at a time."""
+    found = [("not_null", c, F.col(c).isNull()) for c in rules.not_null]
+    for rule in rules.others:
+        match rule:
+            case InSet(column, values):
+                found.append(("in_set", column, checks.not_among(column, values)))
+            case Between(column, low, high):
+                found.append(("between", column, checks.out_of_range(column, low, high)))
+    return found
+
+
+def observed(df: DataFrame, rules: Rules) -> tuple[DataFrame, Observation | None]:
+    """``df`` with its row rules counted while it is written, so that no scan has to follow.
+
+    A task that runs again may count its rows twice: whether a rule holds is
+    right in any case, the number of rows that break it is at least right.
+    """
+    row_rules = _row_rules(rules)
+    if not row_rules:
+        return df, None
+    seen = Observation(f"rules-{uuid.uuid4().hex}")
+    return df.observe(seen, *[F.count(F.when(met, 1)).alias(str(i)) for i, (_, _, met) in enumerate(row_rules)]), seen
+
+
+def _counts(seen: Observation) -> dict[str, int]:
+    try:
+        return seen.get
+    except Py4JJavaError:  # a write of no rows may be planned away, and its counts with it
+        return {}
+
+
+def broken(table: str, seen: Observation | None, rules: Rules) -> list[tuple[str, str, int]]:
+    """(rule, column, rows) of the row rules that the write has seen broken."""
+    counts = _counts(seen) if seen else {}
+    return [(kind, column, counts[str(i)]) for i, (kind, column, _) in enumerate(_row_rules(rules)) if counts.get(str(i))]
+
+
+def quarantined(df: DataFrame, rules: Rules) -> tuple[DataFrame, DataFrame]:
+    """The rows that keep all row rules, and those that do not, with the ``broken_rules``; nothing is read twice if ``df`` is stored."""
+    names = F.filter(F.array(*[F.when(met, F.lit(f"{kind}({column})")) for kind, column, met in _row_rules(rules)]), lambda r: r.isNotNull())
+    marked = df.withColumn("broken_rules", names)
+    return marked.where(F.size("broken_rules") == 0).drop("broken_rules"), marked.where(F.size("broken_rules") > 0)
+
+
+def violations(table: str, tables: Mapping[str, DataFrame], rules: Rules, rows_too: bool = True) -> DataFrame:
     """(table, rule, column_name, rows) for every rule of ``table`` that does not hold.
 
-    Rules that look at one row at a time share a single scan; unique keys and
-    parents take one shuffle each.
+    Rules that look at one row at a time share a single scan, which is left out
+    without ``rows_too``; unique keys and parents take one shuffle each.
     """
     df = tables[table]
     # by place, since several rules may be of one kind and column
-    row_rules = [("not_null", c, F.col(c).isNull()) for c in rules.not_null]
+    row_rules = _row_rules(rules) if rows_too else []
     grouped: list[tuple[str, str, DataFrame]] = []
     for rule in rules.others:
         match rule:
-            case InSet(column, values):
-                row_rules.append(("in_set", column, checks.not_among(column, values)))
-            case Between(column, low, high):
-                row_rules.append(("between", column, checks.out_of_range(column, low, high)))
             case Unique(column):
                 grouped.append(("unique", column, checks.unique(df, column)))
             case Parent(column, parent, parent_column):
@@ -197,10 +240,14 @@ class ChecksFailed(ValueError):
     """Raised with the violations found in a table."""
 
 
-def enforce(table: str, tables: Mapping[str, DataFrame], rules: Rules) -> None:
-    """Run the checks of ``table``; raises if any rule does not hold. At most one row per rule reaches the driver."""
-    found = violations(table, tables, rules).collect()
+def enforce(table: str, tables: Mapping[str, DataFrame], rules: Rules, seen: Observation | None = None) -> None:
+    """Run the checks of ``table``; raises if any rule does not hold. At most one row per rule reaches the driver.
+
+    With what was ``seen`` while the table was written, row rules need no scan.
+    """
+    found = broken(table, seen, rules)
+    if seen is None or any(isinstance(rule, (Unique, Parent)) for rule in rules.others):
+        rows = violations(table, tables, rules, rows_too=seen is None).collect()
+        found += [(r["rule"], r["column_name"], r["rows"]) for r in rows]
     if found:
-        raise ChecksFailed(
-            f"{table}: " + "; ".join(f"{r['rule']}({r['column_name']}) {r['rows']} rows" for r in found)
-        )
+        raise ChecksFailed(f"{table}: " + "; ".join(f"{rule}({column}) {rows} rows" for rule, column, rows in found))
