@@ -479,7 +479,7 @@ _QUERIES |= {
     ),
     "bucket_merge": _QUERIES["merge_upsert"],
     "golden_state": ([*BASE, GOLDEN], f"SELECT {_PERSON} FROM gold"),
-    "aggregate_refresh": (BASE, f"SELECT {_REPORT} FROM stg WHERE source_file <> 'payroll_1.csv' GROUP BY ALL"),
+    "aggregate_refresh": (STAR, f"SELECT {_REPORT} FROM wide WHERE raw_ingested_at <> TIMESTAMP '2025-01-02 00:00:00' GROUP BY ALL"),
     "headcount_bitmaps": (
         STAR,
         f"""SELECT 'group' AS level, fiscal_year, agency_name, {_HEADCOUNT} GROUP BY fiscal_year, agency_name
