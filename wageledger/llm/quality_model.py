@@ -270,24 +270,15 @@ def train(
 
 
 def score(docs: DataFrame, model: Model | None, text: str = "text", source: str = "source", lang: str = "lang", name: str = "score") -> DataFrame:
-    """``docs`` and the score, 0 to 1."""
+    """``docs`` and the score, 0 to 1. Only the three columns it is made of go to Python."""
     name = free_name(docs, name)
     if model is None:
         return docs.withColumn(name, F.lit(1.0))
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
-    arrow = to_arrow_schema(schema)
-    places = [docs.columns.index(c) for c in (text, source, lang)]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            given = zip(*(batch.column(i) for i in places), strict=True)
-            found = [shared.value.score(t.as_py(), _text(s.as_py()), _text(x.as_py())) for t, s, x in given]
-            columns = [c.cast(f.type) for c, f in zip(batch.columns, arrow, strict=False)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.float64())], schema=arrow)
-
-    return docs.mapInArrow(run, schema)
 
+    @F.arrow_udf("double")
+    def scored(texts: pa.Array, sources: pa.Array, langs: pa.Array) -> pa.Array:
+        given = zip(texts, sources, langs, strict=True)
+        return pa.array([shared.value.score(t.as_py(), s.as_py(), x.as_py()) for t, s, x in given], pa.float64())
 
-def _text(value: object) -> str | None:
-    return None if value is None else str(value)
+    return docs.withColumn(name, scored(docs[text], docs[source].cast("string"), docs[lang].cast("string")))
