@@ -163,8 +163,8 @@ def _tables(entries: DataFrame, group: Sequence[str], seed: int | None) -> DataF
 def _roots(entries: DataFrame, table_bytes: int) -> DataFrame:
     """``rep, root`` of each entry ``rep, h, size, content``; of a root also the digest ``sha``."""
     total = entries.agg(F.sum("size")).first()[0] or 0
-    # buckets half full on average
-    first = max(1, -(-2 * total // table_bytes))
+    # small buckets: many to a shuffle partition make the partitions even, and none is too large by chance
+    first = max(1, -(-8 * total // table_bytes))
     entries = entries.withColumn("bucket", F.pmod(F.xxhash64(F.lit(0), "h"), F.lit(first)))
     done: list[DataFrame] = []
     links: list[DataFrame] = []
