@@ -111,10 +111,9 @@ def _nearest(threshold: float) -> Callable[[pa.RecordBatch], Iterator[dict]]:
     return work
 
 
-def _parts(groups: DataFrame, keys: list[str], salt: Column) -> DataFrame:
-    """``groups`` with ``part``, which deals those above a cell into parts of about a cell."""
-    large = groups.groupBy(*keys).agg(F.count("*").alias("size")).where(F.col("size") > CELL)
-    rows = groups.join(large, keys, "left")
+def _parts(groups: DataFrame, sizes: DataFrame, keys: list[str], salt: Column) -> DataFrame:
+    """``groups`` with ``part``, which deals those above a cell, by their ``size``, into parts of about a cell."""
+    rows = groups.join(sizes.where(F.col("size") > CELL), keys, "left")
     parts = F.coalesce(F.ceil(F.col("size") / CELL), F.lit(1))
     return rows.withColumn("part", F.pmod(F.xxhash64(salt, "id"), parts)).drop("size")
 
@@ -128,30 +127,40 @@ def _met(n: int, threshold: float) -> float:
     return (1 - math.acos(min(1.0, max(-1.0, threshold))) / math.pi) ** _bits(n)
 
 
-def _cells(vectors: DataFrame, bits: int, turn: int) -> DataFrame:
-    """``id, dim, cell, v``: each vector in a cell of every set of hyperplanes of this round."""
+def _numbered(batch: pa.RecordBatch, bits: int, turn: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """The vectors of a batch, and their cells in one set of hyperplanes of this round after the other."""
+    dims = batch.column("dim").to_numpy()
+    for d in np.unique(dims):
+        some = batch.take(pa.array(np.flatnonzero(dims == d)))
+        planes = np.random.default_rng([turn, int(d)]).normal(size=(int(d), TABLES * max(1, bits)))
+        signs = (_unit(some.column("v")) @ planes) > 0
+        for t in range(TABLES):
+            mine = signs[:, t * bits : (t + 1) * bits]
+            yield some, (mine @ (1 << np.arange(bits, dtype=np.int64)) if bits else np.zeros(some.num_rows, np.int64)) * TABLES + t
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            dims = batch.column("dim").to_numpy()
-            for d in np.unique(dims):
-                rows = pa.array(np.flatnonzero(dims == d))
-                some = batch.take(rows)
-                planes = np.random.default_rng([turn, int(d)]).normal(size=(int(d), TABLES * max(1, bits)))
-                signs = (_unit(some.column("v")) @ planes) > 0
-                for t in range(TABLES):
-                    mine = signs[:, t * bits : (t + 1) * bits]
-                    cell = mine @ (1 << np.arange(bits, dtype=np.int64)) if bits else np.zeros(len(rows), np.int64)
-                    columns = [some.column("id"), some.column("dim"), pa.array(cell * TABLES + t, pa.int64()), some.column("v")]
-                    yield pa.RecordBatch.from_arrays(columns, names=["id", "dim", "cell", "v"])
 
-    schema = T.StructType([vectors.schema["id"], vectors.schema["dim"], T.StructField("cell", T.LongType()), vectors.schema["v"]])
-    return vectors.select("id", "dim", "v").mapInArrow(run, schema)
+def _from_cells(vectors: DataFrame, n: int, turn: int, threshold: float) -> DataFrame:
+    """Neighbours within the cells of every set of hyperplanes of this round."""
+    bits = _bits(n)
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for some, cells in _numbered(batch, bits, turn):
+                at, sizes = np.unique(cells, return_counts=True)
+                dim = pa.array(np.full(len(at), some.column("dim")[0].as_py()), pa.int64())
+                yield pa.RecordBatch.from_arrays([dim, pa.array(at, pa.int64()), pa.array(sizes, pa.int64())], names=["dim", "cell", "n"])
 
-def _from_cells(vectors: DataFrame, n: int, turn: int, threshold: float) -> DataFrame:
-    cells = _parts(_cells(vectors, _bits(n), turn), ["dim", "cell"], F.hash(F.lit(turn), "cell"))
-    return _by_group(cells, ["dim", "cell", "part"], _nearest(threshold), PAIRS)
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for some, cells in _numbered(batch, bits, turn):
+                columns = [some.column("id"), some.column("dim"), pa.array(cells, pa.int64()), some.column("v")]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "dim", "cell", "v"])
+
+    rows, keys = vectors.select("id", "dim", "v"), ["dim", "cell"]
+    schema = T.StructType([vectors.schema["id"], vectors.schema["dim"], T.StructField("cell", T.LongType()), vectors.schema["v"]])
+    sizes = rows.mapInArrow(count, "dim long, cell long, n long").groupBy(*keys).agg(F.sum("n").alias("size"))
+    dealt = _parts(rows.mapInArrow(deal, schema), sizes, keys, F.hash(F.lit(turn), "cell"))
+    return _by_group(dealt, [*keys, "part"], _nearest(threshold), PAIRS)
 
 
 def _from_neighbours(graph: DataFrame, vectors: DataFrame, turn: int, threshold: float) -> DataFrame:
@@ -166,7 +175,8 @@ def _from_neighbours(graph: DataFrame, vectors: DataFrame, turn: int, threshold:
     both = both.union(edges.select(F.col("a").alias("of"), F.col("a").alias("id"), "turn"))
     fresh = both.where(F.col("turn") == turn - 1).select("of").distinct()
     both = both.join(fresh, "of", "left_semi").select("of", "id").distinct()
-    met = _parts(both, ["of"], F.hash(F.lit(turn), "of")).join(vectors.select("id", "v"), "id")
+    sizes = both.groupBy("of").agg(F.count("*").alias("size"))
+    met = _parts(both, sizes, ["of"], F.hash(F.lit(turn), "of")).join(vectors.select("id", "v"), "id")
     return _by_group(met, ["of", "part"], _nearest(threshold), PAIRS)
 
 
