@@ -173,7 +173,7 @@ def ingest_twice(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def partitioned_table(spark: SparkSession, folder: str) -> DataFrame:
-    """Pay per year and agency from the fact table, written by year and then again without its last year's first load."""
+    """Pay per year and agency from the fact table, written by year, and again when the later years had lost their first loads."""
     keyed, name = stored(inputs.keyed(spark, folder), "keyed"), _name(spark, "fact")
     fact = lookups.fact_payroll(keyed)
     write_table(fact, name, ("fiscal_year",), ("agency_key",))
