@@ -39,6 +39,8 @@ PRIOR, UNIT = 5, 10**9
 LEAST_DOCUMENTS, TOP = 30, 50
 # Bounds of memory only: terms of an array, and distinct (source, term) of a task at a time.
 SLICE, HELD = 1 << 14, 1 << 19
+# Kept terms are sent to all tasks up to this many bytes, and joined by a shuffle beyond.
+BROADCAST = 64 << 20
 # Bytes that end a term become blanks, A-Z become a-z; every byte above 0x7F stays.
 _CUT = bytes(b + 32 if 0x41 <= b <= 0x5A else b if 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
 
@@ -186,7 +188,10 @@ def audit(docs: DataFrame, lang: str = "lang", source: str = "source", text: str
     kept = sums.groupBy("lang", "term").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= least)
     # ids are dense within a partition of the written table, so a slice of ids is full
     kept = stored(kept.select("lang", "term", F.monotonically_increasing_id().alias("id")), "kept_terms")
-    by_source = sums.join(kept, ["lang", "term"]).select("lang", "term", "id", F.explode(F.arrays_zip("sources", "counts")).alias("one"))
+    held = kept.agg(F.sum(F.octet_length("term") + F.octet_length("lang") + 64)).first()[0] or 0
+    # most rows are of terms that are not kept: a small table of those that are spares their shuffle, a large one is joined
+    terms_kept = F.broadcast(kept) if held <= BROADCAST else kept
+    by_source = sums.join(terms_kept, ["lang", "term"]).select("lang", "term", "id", F.explode(F.arrays_zip("sources", "counts")).alias("one"))
     counts = by_source.groupBy("lang", F.col("one.sources").alias("source"), "term", "id").agg(F.sum("one.counts").alias("count"))
     counts = stored(counts, "kept_counts")
     totals = counts.groupBy("lang", "id").agg(F.sum("count").alias("lang_count"))
