@@ -174,6 +174,7 @@ def test_divergence_equals_brute_force(spark, monkeypatch, least, bits):
     """Slices of two ids force many arrays per group; the last bound keeps no term."""
     monkeypatch.setattr(divergence, "SLICE", 1 << bits)
     monkeypatch.setattr(divergence, "HELD", 100)
+    monkeypatch.setattr(divergence, "BROADCAST", 0 if bits == 1 else divergence.BROADCAST)
     rng = random.Random(6)
     vocabulary = [f"w{chr(97 + i)}{chr(97 + j)}" for i in range(12) for j in range(12)] + ["ÉÀ", "É", "Q"]
     rows = hard_rows() + [
